@@ -28,7 +28,7 @@ def _comparable(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
 
     def cell(x):
-        if x is None or x is pd.NaT or (isinstance(x, float) and x != x):
+        if x is None or x is pd.NaT or x is pd.NA or (isinstance(x, float) and x != x):
             return "NULL"
         if hasattr(x, "strftime"):
             return x.strftime("%Y-%m-%d")

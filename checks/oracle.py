@@ -366,8 +366,20 @@ def share(expr: str, name: str, source: str, count_name: str = "row_count", digi
             f"{percent('count(*)', f'(SELECT count(*) FROM {source})')} AS pct FROM {source} GROUP BY 1 {tail}")
 
 
-def median(expr: str) -> str:
-    return f"quantile_cont(CAST({expr} AS DOUBLE), 0.5)"
+def quantile(whole: str, percent: int, unit: int = 1) -> str:
+    """Interpolated quantile of whole numbers (each worth 1/unit), exact up to the last division."""
+    values = f"list_sort(list({whole}) FILTER (({whole}) IS NOT NULL))"
+    at = f"((count({whole}) - 1) * {percent})"
+    low, high = f"{values}[{at} // 100 + 1]", f"{values}[({at} + 99) // 100 + 1]"
+    return f"CAST({low} * (100 - {at} % 100) + {high} * ({at} % 100) AS DOUBLE) / {100 * unit}"
+
+
+def median(whole: str, unit: int = 1) -> str:
+    return quantile(whole, 50, unit)
+
+
+def tenths(x: str) -> str:
+    return f"CAST(round({x} * 10) AS BIGINT)"
 
 
 FACT_COLUMNS = f"""order_id, user_id, rest AS restaurant_id, order_date, strftime(ts, '%Y-%m-%d %H:%M:%S') AS order_datetime,
@@ -403,22 +415,21 @@ RFM_COLUMNS = f"""user_id, is_loyalty, {big('recency')} AS recency_days, frequen
   r AS r_score, f AS f_score, m AS m_score, CAST(r AS VARCHAR) || f || m AS rfm_score, segment"""
 
 QUARTILES = ", ".join(
-    f"quantile_cont({usd('spend_c')}, {p}) AS {n}" for n, p in
-    (("p25_spend", 0.25), ("median_spend", 0.5), ("p75_spend", 0.75)))
+    f"{quantile('spend_c', p, 100)} AS {n}" for n, p in (("p25_spend", 25), ("median_spend", 50), ("p75_spend", 75)))
 
 _customer = "(SELECT user_id FROM cust ORDER BY spend_c DESC, user_id LIMIT 1)"
 _churn_order = "CASE tag WHEN 'Active' THEN 0 WHEN 'Cooling Off' THEN 1 WHEN 'At Risk' THEN 2 ELSE 3 END"
 
 
 def rfm_medians(condition: str) -> str:
-    return (f"SELECT {median('frequency')} AS median_frequency, {median(usd('monetary_c'))} AS median_monetary, "
+    return (f"SELECT {median('frequency')} AS median_frequency, {median('monetary_c', 100)} AS median_monetary, "
             f"{median('recency')} AS median_recency, count(*) AS customers FROM rfm WHERE {condition}")
 
 
 def churn_breakdown(tag: str) -> str:
     return (f"SELECT {tag}, count(*) AS customer_count, {median('days_since_last_order')} AS median_days_since_last, "
-            f"{median('avg_gap_days')} AS median_avg_gap, {median('total_orders')} AS median_orders, "
-            f"{median('spend_change_pct')} AS median_spend_change_pct FROM churn GROUP BY 1")
+            f"{median(tenths('avg_gap_days'), 10)} AS median_avg_gap, {median('total_orders')} AS median_orders, "
+            f"{median(tenths('spend_change_pct'), 10)} AS median_spend_change_pct FROM churn GROUP BY 1")
 
 
 def trend(label: str, source: str, cents: str) -> str:
@@ -521,7 +532,7 @@ SELECT clv_tier, date_key, customer_count FROM (
     "rep_clv_kpis": q(f"""
 SELECT count(DISTINCT user_id) AS customers_scored, min(date_key) AS earliest_date, max(date_key) AS latest_date,
   {usd('max(spend_c)')} AS max_clv,
-  quantile_cont(CASE WHEN date_key = (SELECT max(date_key) FROM clv) THEN {usd('spend_c')} END, 0.5) AS median_clv_latest
+  (SELECT {median('spend_c', 100)} FROM clv WHERE date_key = (SELECT max(date_key) FROM clv)) AS median_clv_latest
 FROM clv"""),
     "rep_top_customers": q(f"""
 SELECT user_id, {usd('spend_c')} AS total_spend, total_orders, clv_tier,
@@ -542,7 +553,7 @@ SELECT date_key, {usd('spend_c')} AS cumulative_spend, {usd('rev_c')} AS daily_r
     "rep_segment_leaderboard": q(f"""
 SELECT segment, loyalty_label, count(*) AS customer_count, {usd('sum(monetary_c)')} AS total_monetary,
   {median('recency')} AS median_recency, {median('frequency')} AS median_frequency,
-  {median(usd('monetary_c'))} AS median_monetary FROM rfm GROUP BY 1, 2"""),
+  {median('monetary_c', 100)} AS median_monetary FROM rfm GROUP BY 1, 2"""),
     "rep_churn_tags": q(" UNION ALL ".join(
         f"SELECT '{c}' AS method, {c} AS tag, count(*) AS customer_count, "
         f"{pct1('count(*)', '(SELECT count(*) FROM churn)')} AS pct FROM churn GROUP BY 2"
@@ -603,7 +614,7 @@ FROM fact JOIN cust ON fact.user_id = cust.user_id GROUP BY 1"""),
         "SELECT count(*) FILTER (price_c = 0) AS zeros, count(*) FILTER (price_c < 0) AS negatives, "
         "count(*) FILTER (price_c > 5000) AS outliers, "
         f"{usd('min(price_c)')} AS min_value, {usd('max(price_c)')} AS max_value, "
-        + ", ".join(f"quantile_cont({usd('price_c')}, {p / 100}) AS p{p}" for p in PERCENTILES) + " FROM items_raw", RAW),
+        + ", ".join(f"{quantile('price_c', p, 100)} AS p{p}" for p in PERCENTILES) + " FROM items_raw", RAW),
     "aud_top_restaurants": q(share('rest', '"RESTAURANT_ID"', "items_raw", tail="ORDER BY row_count DESC, 1 LIMIT 10"), RAW),
     "aud_apps": q(share('app', '"APP_NAME"', "items_raw"), RAW),
     "aud_option_prices": q(share(usd('price_c'), '"OPTION_PRICE"', "opts_raw"), RAW),
@@ -674,7 +685,7 @@ SELECT order_year_month, fact_rows, previous_rows, change_pct,
   CASE WHEN change_pct < -10 THEN 'ANOMALY' ELSE 'OK' END AS status FROM (
   SELECT *, {pct2('fact_rows - previous_rows', 'previous_rows')} AS change_pct FROM (
     SELECT strftime(order_date, '%Y-%m') AS order_year_month, count(*) AS fact_rows,
-      lag(count(*)) OVER (ORDER BY strftime(order_date, '%Y-%m')) AS previous_rows FROM fact GROUP BY 1))"""),
+      CAST(lag(count(*)) OVER (ORDER BY strftime(order_date, '%Y-%m')) AS DOUBLE) AS previous_rows FROM fact GROUP BY 1))"""),
     "var_calendar_extras": q(f"""
 SELECT {DATE_COLUMNS}, monthname(date_key) AS month_name, {big('quarter(date_key)')} AS quarter,
   {big('isodow(date_key)')} AS day_of_week_num FROM days LEFT JOIN holidays ON date_key = d"""),

@@ -267,7 +267,8 @@ def row_gate(t: Tables) -> DataFrame:
 def volume_by_month(t: Tables) -> DataFrame:
     """Each month's load as one run of the log: orders against the month before."""
     runs = t.fact.groupBy("order_year_month").agg(F.count("*").alias("fact_rows"))
-    return volume_gate(runs, "order_year_month", "fact_rows")
+    return volume_gate(runs, "order_year_month", "fact_rows").withColumn(
+        "previous_rows", F.col("previous_rows").cast("double"))
 
 
 # Digests of the dense snapshot ----------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.functions.numbers import integer_key
 from ordermill.operators.order_statistics import group_values_at
 from ordermill.operators.timeline import expand_days
 from ordermill.plans.lifetime_value import spend_intervals
@@ -26,9 +27,9 @@ def clv_by_percent_rank(fact: DataFrame, customers: DataFrame, calendar: DataFra
     # Whole-number ceilings of 0.8 and 0.2 of the other customers.
     ranks = {"high_above": F.expr("(4 * (_n - 1) + 4) div 5 - 1"), "low_up_to": F.expr("((_n - 1) + 4) div 5 - 1")}
     limits = materialize(
-        group_values_at(narrow, ["snapshot_date"], F.col("cumulative_spend"), ranks, scale=2), "spend-limits")
+        group_values_at(narrow, ["snapshot_date"], integer_key(F.col("cumulative_spend"), 2), ranks), "spend-limits")
     dense = expand_days(intervals, "day", "snapshot_date").join(limits, "snapshot_date", "left")
-    spend = F.col("cumulative_spend").cast("double")
+    spend = integer_key(F.col("cumulative_spend"), 2)
     tier = (
         F.when(spend > F.col("high_above"), "High")
         .when(spend > F.col("low_up_to"), "Medium")
