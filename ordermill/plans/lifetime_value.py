@@ -6,13 +6,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.labels import spend_tier
-from ordermill.operators.order_statistics import rank_key, with_tile
+from ordermill.functions.numbers import magnitude_bucket
+from ordermill.operators.order_statistics import rank_key, tile_cuts, with_tile
 from ordermill.operators.timeline import expand_days, first_day_only, running_intervals
 from ordermill.schemas import money, stamped
 from ordermill.session import materialize
 
 TIERS = 5
 NO_SPEND = "Pre-Activity"
+ROWS_PER_TASK, MOST_TASKS = 4_000_000, 50_000
+
+
+def stored_intervals(fact: DataFrame, customers: DataFrame, calendar: DataFrame) -> DataFrame:
+    """``spend_intervals`` written once, split into ranges of customers, with sort key and bucket of the spend.
+
+    A few intervals expand to many days, so the number of tasks follows from
+    the rows of the expanded table: the days from each customer's first order
+    to the end of the calendar, summed over the customer dimension.
+    """
+    spark = fact.sparkSession
+    age = F.datediff(calendar.agg(F.max("date_key")).scalar(), F.col("first_order_date")) + 1
+    rows = customers.agg(F.coalesce(F.sum(age), F.lit(0))).first()[0]
+    tasks = min(max(rows // ROWS_PER_TASK, spark.sparkContext.defaultParallelism), MOST_TASKS)
+    spend_key = rank_key(F.col("cumulative_spend"), 2)
+    intervals = spend_intervals(fact, customers, calendar).withColumns({
+        "spend_key": spend_key, "spend_bucket": magnitude_bucket(spend_key)})
+    return materialize(
+        intervals.repartitionByRange(tasks, "user_id", "day").sortWithinPartitions("user_id", "day"), "spend-intervals")
 
 
 def spend_intervals(fact: DataFrame, customers: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -49,11 +69,11 @@ def clv_snapshot(fact: DataFrame, customers: DataFrame, calendar: DataFrame, run
     expanded from the stored intervals, once to find the tier boundaries of
     each day and once for the result.
     """
-    intervals = materialize(spend_intervals(fact, customers, calendar), "spend-intervals")
-    spend_key = rank_key(F.col("cumulative_spend"), 2)
-    narrow = expand_days(intervals.select("user_id", "day", "until", "cumulative_spend"), "day", "date_key")
-    dense = expand_days(intervals, "day", "date_key")
-    tiered = with_tile(dense, "tile", TIERS, spend_key, "user_id", ["date_key"], cuts_from=narrow)
+    intervals = stored_intervals(fact, customers, calendar)
+    narrow = expand_days(intervals.select("user_id", "day", "until", "spend_key", "spend_bucket"), "day", "date_key")
+    cuts = tile_cuts(narrow, TIERS, F.col("spend_key"), "user_id", ["date_key"], bucket=F.col("spend_bucket"))
+    dense = expand_days(intervals.drop("spend_bucket"), "day", "date_key")
+    tiered = with_tile(dense, "tile", TIERS, F.col("spend_key"), "user_id", ["date_key"], cuts)
     result = tiered.withColumns({
         **first_day_only(["daily_revenue", "daily_order_count"], "day", "date_key"),
         "clv_tier": F.when(F.col("cumulative_spend") > 0, spend_tier(F.col("tile"), TIERS)).otherwise(NO_SPEND),

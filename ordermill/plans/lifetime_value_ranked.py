@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ordermill.functions.numbers import integer_key
 from ordermill.operators.order_statistics import group_values_at
 from ordermill.operators.timeline import expand_days
-from ordermill.plans.lifetime_value import spend_intervals
+from ordermill.plans.lifetime_value import stored_intervals
 from ordermill.session import materialize
 
 ACTIVE_DAYS = 90
@@ -22,7 +22,7 @@ def clv_by_percent_rank(fact: DataFrame, customers: DataFrame, calendar: DataFra
     have less" means "more than the h-th smallest spend": two values per day
     decide all tiers.
     """
-    intervals = materialize(spend_intervals(fact, customers, calendar), "spend-intervals")
+    intervals = stored_intervals(fact, customers, calendar)
     narrow = expand_days(intervals.select("user_id", "day", "until", "cumulative_spend"), "day", "snapshot_date")
     # Whole-number ceilings of 0.8 and 0.2 of the other customers.
     ranks = {"high_above": F.expr("(4 * (_n - 1) + 4) div 5 - 1"), "low_up_to": F.expr("((_n - 1) + 4) div 5 - 1")}

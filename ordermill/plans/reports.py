@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.labels import CHURN_ORDER, SEGMENT_ORDER, SPEND_TIERS, loyalty_label, position_in
-from ordermill.functions.numbers import money_percent, percent, ratio
+from ordermill.functions.numbers import integer_key, money_percent, percent, ratio
 from ordermill.operators.distribution import count_and_share, hash_sample
 from ordermill.operators.order_statistics import group_quantiles
 from ordermill.schemas import money
@@ -50,12 +50,11 @@ def clv_by_day(clv: DataFrame, approximate: bool = False) -> DataFrame:
     tiered = clv.filter(F.col("clv_tier").isin(*SPEND_TIERS))
     keys = ["date_key", "clv_tier"]
     spend, quartiles = F.col("cumulative_spend"), {"p25_spend": 0.25, "median_spend": 0.5, "p75_spend": 0.75}
-    count = F.count("*").alias("customer_count")
     if approximate:
+        count = F.count("*").alias("customer_count")
         sketched = [F.percentile_approx(spend, p).alias(name) for name, p in quartiles.items()]
         return tiered.groupBy(*keys).agg(count, *sketched).orderBy(*keys)
-    exact = group_quantiles(tiered, keys, spend, quartiles, scale=2)
-    return tiered.groupBy(*keys).agg(count).join(exact, keys).orderBy(*keys)
+    return group_quantiles(tiered, keys, spend, quartiles, scale=2, count_name="customer_count").orderBy(*keys)
 
 
 def latest_tier_counts(by_day: DataFrame) -> DataFrame:
@@ -107,15 +106,21 @@ def loyalty_view(rfm: DataFrame, view: str = "All") -> DataFrame:
 
 
 def _medians(df: DataFrame, keys: list[str], columns: dict[str, tuple[str, int]]) -> DataFrame:
-    """Median columns per key: name to (source column, decimals)."""
-    result = df.select(*keys).distinct() if keys else df.agg(F.lit(1).alias("_one"))
-    for name, (source, scale) in columns.items():
-        median = group_quantiles(df, keys, F.col(source), {name: 0.5}, scale)
-        if keys:
-            result = result.join(median, keys, "left")
-        else:
-            result = result.withColumn(name, median.select(name).scalar())
-    return result.drop("_one")
+    """Median columns per key: name to (source column, decimals).
+
+    The columns are put below each other first, so that all medians come from
+    the same two passes.
+    """
+    cells = F.array(*[
+        F.struct(F.lit(name).alias("_measure"), integer_key(F.col(source), scale).alias("_value"))
+        for name, (source, scale) in columns.items()
+    ])
+    long = df.select(*keys, F.inline(cells))
+    medians = group_quantiles(long, [*keys, "_measure"], F.col("_value"), {"_median": 0.5})
+    return medians.groupBy(*keys).agg(*[
+        (F.max(F.when(F.col("_measure") == name, F.col("_median"))) / F.lit(float(10**scale))).alias(name)
+        for name, (_, scale) in columns.items()
+    ])
 
 
 def rfm_medians(rfm: DataFrame, view: str = "All") -> DataFrame:
