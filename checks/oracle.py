@@ -261,6 +261,15 @@ top_options AS (
 BASE = RAW + "," + clean_items("items", "items_raw") + "," + clean_opts("opts", "opts_raw") + "," \
     + order_fact("fact", "items", "opts") + "," + METRICS
 
+PURCHASES = RAW + """,
+purchases AS (
+  SELECT 'Shop' AS app, 'R' || CAST(user_id % 5 AS VARCHAR) AS rest, CAST(ts AS TIMESTAMP) AS ts, 'Z' AS ts_end,
+    'e' || CAST(event_id AS VARCHAR) AS order_id, CAST(user_id AS VARCHAR) AS user_id, CAST(NULL AS VARCHAR) AS card,
+    user_id % 4 = 0 AS loyal, 'e' || CAST(event_id AS VARCHAR) AS line_id, event_type AS category, event_type AS item,
+    CAST(round(value * 100) AS BIGINT) % 5200 AS price_c, 1 AS qty
+  FROM events WHERE event_type = 'purchase')""" + "," + clean_items("items", "purchases") + "," \
+    + clean_opts("opts", "opts_raw") + "," + order_fact("fact", "items", "opts") + "," + METRICS
+
 # The daily run reduces repeated keys in the raw layer already.
 RAW_KEYED = RAW + f""",
 items_keyed AS (
@@ -414,6 +423,13 @@ TOP_OPTION_COLUMNS = f"option_group_name, option_name, attach_count, {usd('c')}
 RFM_COLUMNS = f"""user_id, is_loyalty, {big('recency')} AS recency_days, frequency, {usd('monetary_c')} AS monetary,
   r AS r_score, f AS f_score, m AS m_score, CAST(r AS VARCHAR) || f || m AS rfm_score, segment"""
 
+CLV_DAYS = f"""
+SELECT date_key, clv_tier, {big('year(date_key)')} AS snapshot_year, count(*) AS customers,
+  {usd('min(spend_c)')} AS min_spend, {usd('max(spend_c)')} AS max_spend, {usd('sum(spend_c)')} AS spend,
+  {big('sum(orders)')} AS orders, {usd('sum(rev_c)')} AS revenue, {big('sum(n)')} AS new_orders,
+  {big("sum(date_diff('day', first_order_date, date_key))")} AS age_days, count(*) FILTER (rev_c > 0) AS active
+FROM clv GROUP BY 1, 2, 3"""
+
 QUARTILES = ", ".join(
     f"{quantile('spend_c', p, 100)} AS {n}" for n, p in (("p25_spend", 25), ("median_spend", 50), ("p75_spend", 75)))
 
@@ -479,12 +495,10 @@ SELECT restaurant_id, total_orders, {usd('cents')} AS total_revenue, unique_cust
     "fact_profile": q(f"""
 SELECT count(*) AS orders, count(DISTINCT user_id) AS customers, {usd('sum(total_c)')} AS revenue,
   {pct1('count(*) FILTER (user_id IS NULL)', 'count(*)')} AS anonymous_pct FROM fact"""),
-    "clv_days": q(f"""
-SELECT date_key, clv_tier, {big('year(date_key)')} AS snapshot_year, count(*) AS customers,
-  {usd('min(spend_c)')} AS min_spend, {usd('max(spend_c)')} AS max_spend, {usd('sum(spend_c)')} AS spend,
-  {big('sum(orders)')} AS orders, {usd('sum(rev_c)')} AS revenue, {big('sum(n)')} AS new_orders,
-  {big("sum(date_diff('day', first_order_date, date_key))")} AS age_days, count(*) FILTER (rev_c > 0) AS active
-FROM clv GROUP BY 1, 2, 3"""),
+    "clv_days": q(CLV_DAYS),
+    "clv_days_of_purchases": q(CLV_DAYS, PURCHASES),
+    "rfm_segments_of_purchases": q(f"SELECT {RFM_COLUMNS} FROM rfm", PURCHASES),
+    "churn_indicators_of_purchases": q("SELECT * FROM churn", PURCHASES),
     "clv_customers": q(f"""
 SELECT user_id, clv_tier, count(*) AS days, min(date_key) AS first_day, max(date_key) AS last_day,
   {usd('max(spend_c)')} AS max_spend, max(orders) AS max_orders, {usd('sum(rev_c)')} AS revenue,

@@ -33,7 +33,7 @@ from ordermill.plans.upsell import (
     frequent_paid_options, upsell_by_attachment, upsell_summary, upsell_top_options,
 )
 from ordermill.schemas import ITEM_KEYS, OPTION_KEYS
-from ordermill.session import materialize, scratch_path
+from ordermill.session import materialize, scratch_folder
 from ordermill.sources import sample_data
 from ordermill.sources.calendar_csv import read_calendar
 from ordermill.sources.holidays import us_holidays
@@ -131,8 +131,21 @@ class Tables:
     def locations(self) -> DataFrame:
         return self._keep("locations", lambda: location_perf(self.fact))
 
+    @property
+    def purchases(self) -> DataFrame:
+        return self._keep(
+            "purchases", lambda: clean_order_items(sample_data.raw_purchases(self.spark, self.folder), RULES))
+
+    @property
+    def purchase_fact(self) -> DataFrame:
+        return self._keep("purchase-fact", lambda: fact_orders(self.purchases, self.options))
+
+    @property
+    def purchase_customers(self) -> DataFrame:
+        return self._keep("purchase-customers", lambda: dim_customer(self.purchases))
+
     def new_lake(self, label: str) -> Lake:
-        return Lake(self.spark, scratch_path(self.spark, label))
+        return Lake(self.spark, scratch_folder(self.spark, label))
 
     def source(self, spec) -> DataFrame:
         return {ITEMS: self.raw_items, OPTIONS: self.raw_options, CALENDAR: self.raw_calendar}[spec.name]
@@ -245,8 +258,8 @@ def reload_months(t: Tables) -> DataFrame:
 
 
 def calendar_from_csv(t: Tables) -> DataFrame:
-    path = scratch_path(t.spark, "calendar-csv")
-    t.raw_calendar.write.option("header", True).csv(path)
+    path = scratch_folder(t.spark, "calendar-csv")
+    t.raw_calendar.write.mode("overwrite").option("header", True).csv(path)
     return clean_calendar(read_calendar(t.spark, path))
 
 
@@ -273,9 +286,9 @@ def volume_by_month(t: Tables) -> DataFrame:
 
 # Digests of the dense snapshot ----------------------------------------------
 
-def clv_days(t: Tables) -> DataFrame:
+def days_digest(clv: DataFrame) -> DataFrame:
     """Every row of the snapshot, summed per day and tier."""
-    return t.clv.groupBy("date_key", "clv_tier", "snapshot_year").agg(
+    return clv.groupBy("date_key", "clv_tier", "snapshot_year").agg(
         F.count("*").alias("customers"),
         F.min("cumulative_spend").alias("min_spend"),
         F.max("cumulative_spend").alias("max_spend"),
@@ -336,10 +349,14 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "fact_orders": lambda t: t.fact,
     "fact_profile": lambda t: fact_profile(t.fact),
     # metrics
-    "clv_days": clv_days,
+    "clv_days": lambda t: days_digest(t.clv),
     "clv_customers": clv_customers,
+    "clv_days_of_purchases": lambda t: days_digest(
+        clv_snapshot(t.purchase_fact, t.purchase_customers, dim_date(t.purchases, us_holidays(t.spark)))),
     "rfm_segments": lambda t: t.rfm,
+    "rfm_segments_of_purchases": lambda t: rfm_segments(t.purchase_fact, t.purchase_customers),
     "churn_indicators": lambda t: t.churn,
+    "churn_indicators_of_purchases": lambda t: churn_indicators(t.purchase_fact),
     "sales_daily": lambda t: t.daily,
     "sales_weekly": lambda t: t.weekly,
     "sales_weekly_iso": lambda t: sales_weekly(t.fact, by_iso_year=True),

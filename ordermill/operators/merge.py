@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +17,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
 
     Rows of ``source`` that share a key are reduced to one first.  A key with a
     NULL equals nothing: such source rows are added, such target rows stay.
+    They bypass the join, which would send all of them to one task.
     """
     fresh = keep_one(source, keys).select(*[F.col(f.name).cast(f.dataType) for f in target.schema])
-    untouched = target.join(fresh.select(*keys), list(keys), "left_anti").select(*target.columns)
-    return untouched.unionByName(fresh)
+    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    untouched = target.filter(complete).join(fresh.select(*keys), list(keys), "left_anti").select(*target.columns)
+    return untouched.unionByName(target.filter(~complete)).unionByName(fresh)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.labels import spend_tier
 from ordermill.functions.numbers import magnitude_bucket
-from ordermill.operators.order_statistics import rank_key, tile_cuts, with_tile
+from ordermill.operators.order_statistics import bucket_bits, rank_key, tile_cuts, with_tile
 from ordermill.operators.timeline import expand_days, first_day_only, running_intervals
 from ordermill.schemas import money, stamped
 from ordermill.session import materialize
@@ -26,11 +26,11 @@ def stored_intervals(fact: DataFrame, customers: DataFrame, calendar: DataFrame)
     """
     spark = fact.sparkSession
     age = F.datediff(calendar.agg(F.max("date_key")).scalar(), F.col("first_order_date")) + 1
-    rows = customers.agg(F.coalesce(F.sum(age), F.lit(0))).first()[0]
+    rows, days = customers.agg(F.coalesce(F.sum(age), F.lit(0)), F.coalesce(F.max(age), F.lit(0))).first()
     tasks = min(max(rows // ROWS_PER_TASK, spark.sparkContext.defaultParallelism), MOST_TASKS)
     spend_key = rank_key(F.col("cumulative_spend"), 2)
     intervals = spend_intervals(fact, customers, calendar).withColumns({
-        "spend_key": spend_key, "spend_bucket": magnitude_bucket(spend_key)})
+        "spend_key": spend_key, "spend_bucket": magnitude_bucket(spend_key, bucket_bits(rows, days))})
     return materialize(
         intervals.repartitionByRange(tasks, "user_id", "day").sortWithinPartitions("user_id", "day"), "spend-intervals")
 

@@ -55,6 +55,15 @@ def hadoop_path(spark: SparkSession, path: str):
     return target.getFileSystem(context._jsc.hadoopConfiguration()), target
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new folder that goes when the application ends."""
+    path = scratch_path(spark, label)
+    fs, target = hadoop_path(spark, path)
+    fs.mkdirs(target)
+    fs.deleteOnExit(target)
+    return path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to scratch and go on from the stored rows."""
     spark = df.sparkSession

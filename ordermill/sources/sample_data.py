@@ -92,3 +92,26 @@ def raw_calendar(spark: SparkSession, folder: str) -> DataFrame:
         F.when(number % 30 == 0, " yes ").when(number % 30 == 1, "maybe").otherwise("0").alias("is_holiday"),
         F.when(number % 30 == 0, " Labor Day ").when(number % 30 == 1, "  ").alias("holiday_name"),
     )
+
+
+def raw_purchases(spark: SparkSession, folder: str) -> DataFrame:
+    """Purchase events as orders of one line item; unlike the orders above they have real times of day."""
+    events = spread(_read(spark, folder, "events").filter(F.col("event_type") == "purchase"))
+    user = F.col("user_id")
+    key = F.concat(F.lit("e"), F.col("event_id").cast("string"))
+    cents = F.round(F.col("value") * 100).cast("bigint") % 5200
+    return events.select(
+        F.lit("Shop").alias("APP_NAME"),
+        F.concat(F.lit("R"), (user % 5).cast("string")).alias("RESTAURANT_ID"),
+        F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("CREATION_TIME_UTC"),
+        key.alias("ORDER_ID"),
+        user.cast("string").alias("USER_ID"),
+        F.lit(None).cast("string").alias("PRINTED_CARD_NUMBER"),
+        F.when(user % 4 == 0, "TRUE").otherwise("FALSE").alias("IS_LOYALTY"),
+        F.lit("USD").alias("CURRENCY"),
+        key.alias("LINEITEM_ID"),
+        F.col("event_type").alias("ITEM_CATEGORY"),
+        F.col("event_type").alias("ITEM_NAME"),
+        (cents.cast("decimal(10,0)") / 100).cast("decimal(10,2)").alias("ITEM_PRICE"),
+        F.lit(1).alias("ITEM_QUANTITY"),
+    )
