@@ -21,10 +21,6 @@ def keep_one(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return chosen.select(*[F.col(c) if c in keys else F.col("_kept")[c].alias(c) for c in df.columns])
 
 
-def without_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(keys))
-
-
 def surplus_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: how many rows there are, how many keys, and how many rows a dedupe removes."""
     per_key = df.groupBy(*keys).agg(F.count("*").alias("copies"))

@@ -17,9 +17,17 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
 
     Rows of ``source`` that share a key are reduced to one first.  A key with a
     NULL equals nothing: such source rows are added, such target rows stay.
-    They bypass the join, which would send all of them to one task.
     """
-    fresh = keep_one(source, keys).select(*[F.col(f.name).cast(f.dataType) for f in target.schema])
+    return replace_by_key(target, keep_one(source, keys), keys)
+
+
+def replace_by_key(target: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``upsert`` for rows with unique keys, which are read twice: once for the keys, once for the rows.
+
+    Target rows with a NULL in the key bypass the join, which would send all of
+    them to one task.
+    """
+    fresh = fresh.select(*[F.col(f.name).cast(f.dataType) for f in target.schema])
     complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
     untouched = target.filter(complete).join(fresh.select(*keys), list(keys), "left_anti").select(*target.columns)
     return untouched.unionByName(target.filter(~complete)).unionByName(fresh)

@@ -180,10 +180,19 @@ LAYERS: tuple[tuple[str, Callable[[Run], dict[str, str]], str], ...] = (
 )
 
 
-def run_daily(run: Run) -> dict[str, dict[str, str]]:
+def _warn_of_losses(run: Run, counts: Mapping[str, int], least_pct: float = 95.0) -> None:
+    """Cleaning that keeps fewer rows than usual is worth a look, but stops nothing."""
+    for table, seen in run.stage_counts.items():
+        rows_in = seen["rows_in"]
+        if rows_in and 100 * counts[table] / rows_in < least_pct:
+            log.warning("cleaning %s kept %s of %s rows", table, counts[table], rows_in)
+
+
+def run_daily(run: Run, strict: bool = False) -> dict[str, dict[str, str]]:
     """All layers in order, each logged with its status and row counts.
 
-    Returns the table statuses per layer; layers after a failure are missing.
+    Returns the table statuses per layer; layers after a failure are missing,
+    or, if ``strict``, a failure is raised once it is logged.
     """
     done: dict[str, dict[str, str]] = {}
     for name, build, layer in LAYERS:
@@ -196,7 +205,11 @@ def run_daily(run: Run) -> dict[str, dict[str, str]]:
             run.lake.spark, f"{run.lake.root}/run_log", name, run.run_date, run.run_ts, statuses, counts)
         if status != "SUCCESS":
             log.error("layer %s ended with %s, later layers are skipped", name, status)
+            if strict:
+                raise RuntimeError(f"layer {name} ended with {status}: {statuses}")
             break
+        if layer == CLEAN:
+            _warn_of_losses(run, counts)
     return done
 
 

@@ -43,7 +43,8 @@ def spend_intervals(fact: DataFrame, customers: DataFrame, calendar: DataFrame)
     """
     zero = F.lit(0).cast("decimal(18,2)")
     orders = fact.filter(~F.col("is_anonymous")).select(
-        "user_id", F.col("order_date").alias("day"), "total_revenue", F.lit(1).alias("orders"), F.lit(None).cast("date").alias("first_day"))
+        "user_id", F.col("order_date").alias("day"), "total_revenue", F.lit(1).alias("orders"),
+        F.lit(None).cast("date").alias("first_day"))
     starts = customers.select(
         "user_id", F.col("first_order_date").alias("day"), zero.alias("total_revenue"), F.lit(0).alias("orders"),
         F.col("first_order_date").alias("first_day"))

@@ -77,11 +77,6 @@ def money(col: Column) -> Column:
     return col.cast(MONEY)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select, order and try-cast the columns of ``schema``; what cannot be cast is NULL."""
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
 def stamped(df: DataFrame, column: str, run_ts: str | None) -> DataFrame:
     """Add the load stamp of a run; without a run there is no stamp column."""
     return df if run_ts is None else df.withColumn(column, F.lit(run_ts))

@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ordermill.operators.dedupe import keep_one
-from ordermill.operators.merge import upsert
+from ordermill.operators.merge import replace_by_key
 from ordermill.schemas import SERVING_TABLES
-from ordermill.session import hadoop_path
+from ordermill.session import hadoop_path, materialize
 
 RAW, CLEAN, SERVING = "raw", "clean", "serving"
 POINTER, SCHEMA_FILE = "_CURRENT", "_schema.json"
@@ -36,8 +36,10 @@ class TableSpec:
 
 
 class Lake:
-    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet") -> None:
-        self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
+    """Tables under ``root``; with ``keep`` only so many snapshots of a table stay, the current one included."""
+
+    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet", keep: int | None = None) -> None:
+        self.spark, self.root, self.fmt, self.keep = spark, root.rstrip("/"), fmt, keep
 
     def _table_path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -119,17 +121,31 @@ class Lake:
         writer.save(path)
         self._write_line(f"{path}/{SCHEMA_FILE}", df.schema.json())
         self._point_to(layer, table, number)
+        if self.keep is not None:
+            self.drop_old(layer, table, self.keep)
         return number
 
+    def drop_old(self, layer: str, table: str, keep: int) -> None:
+        """Delete all but the ``keep`` newest snapshots, and never the current one."""
+        complete, current = self.versions(layer, table), self.current(layer, table)
+        for version in complete[: max(len(complete) - max(keep, 1), 0)]:
+            if version != current:
+                fs, path = hadoop_path(self.spark, self.snapshot_path(layer, table, version))
+                fs.delete(path, True)
+
     def upsert(
         self, df: DataFrame, layer: str, table: str, keys: Sequence[str], partition_by: Sequence[str] = (),
     ) -> int:
-        """Merge ``df`` into the table by ``keys``; the first call creates the table."""
+        """Merge ``df`` into the table by ``keys``; the first call creates the table.
+
+        The rows of ``df`` are stored before the merge, which reads them twice:
+        the source is asked once, and a small extract is broadcast to the table
+        instead of shuffling it.
+        """
+        fresh = keep_one(df, keys)
         if self.exists(layer, table):
-            merged = upsert(self.read(layer, table), df, keys)
-        else:
-            merged = keep_one(df, keys)
-        return self.overwrite(merged, layer, table, partition_by)
+            fresh = replace_by_key(self.read(layer, table), materialize(fresh, f"{table}-extract"), keys)
+        return self.overwrite(fresh, layer, table, partition_by)
 
     def replace_partitions(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str]) -> None:
         """Rewrite only the partitions present in ``df``, inside the current snapshot (backfills)."""

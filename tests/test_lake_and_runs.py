@@ -1,17 +1,16 @@
 from __future__ import annotations
 
 from datetime import date
-from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
 
 from checks.registry import RULES, Tables
 from ordermill.operators.merge import upsert
-from ordermill.plans.daily_run import ITEMS, SOURCES, Run, ingest_raw, run_daily
+from ordermill.plans.daily_run import ITEMS, Run, run_daily
 from ordermill.sources.jdbc import day_predicates, range_options, read_table
 from ordermill.sources.lake import CLEAN, RAW, SERVING, Lake
-from ordermill.sources.run_log import append_run, overall_status, read_log, retention_gate, volume_gate
+from ordermill.sources.run_log import append_run, overall_status, read_log, retention_gate, table_runs, volume_gate
 from ordermill.schemas import SERVING_TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -52,6 +51,26 @@ def test_snapshots(spark, tmp_path):
     assert lake.overwrite(first, RAW, "t") == 3
 
 
+def test_an_upsert_asks_the_source_once(spark, tmp_path):
+    """A source that gives other rows each time it is read must not leave rows of two reads in the table."""
+    lake = Lake(spark, str(tmp_path))
+    lake.upsert(frame(spark, ("a", 1, 10)), RAW, "t", ["k"])
+    restless = spark.range(50).select(
+        F.uuid().alias("k"), F.lit(1).alias("j"), F.lit(2).alias("v"))
+    lake.upsert(restless, RAW, "t", ["k"])
+    assert lake.read(RAW, "t").count() == lake.read(RAW, "t").select("k").distinct().count() == 51
+
+
+def test_old_snapshots_go(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path), keep=2)
+    for v in range(4):
+        lake.overwrite(frame(spark, ("a", 1, v)), RAW, "t")
+    assert lake.versions(RAW, "t") == [3, 4]
+    lake.rollback(RAW, "t")
+    lake.drop_old(RAW, "t", 1)
+    assert lake.versions(RAW, "t") == [3, 4] and lines(lake.read(RAW, "t")) == [("a", 1, 2)]
+
+
 def test_partitions_keep_their_types_and_can_be_replaced(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     orders = spark.createDataFrame([("1", "2020-01", 5), ("2", "2020-02", 6)], "id string, m string, v int")
@@ -76,7 +95,7 @@ def test_log_and_gates(spark, tmp_path):
     path = str(tmp_path / "log")
     for day, rows in (("2026-01-01", 100), ("2026-01-02", 95), ("2026-01-03", 80)):
         append_run(spark, path, "fact", day, "t", {"fact_orders": "SUCCESS"}, {"fact_orders": rows})
-    runs = read_log(spark, path).select("run_date", F.element_at("row_counts", F.lit("fact_orders")).alias("rows"))
+    runs = table_runs(read_log(spark, path), "fact_orders")
     gated = volume_gate(runs, "run_date", "rows").orderBy("run_date").collect()
     assert [(r.rows, r.status) for r in gated] == [(100, "OK"), (95, "OK"), (80, "ANOMALY")]
     line = spark.range(1).select(retention_gate(F.lit(100), F.lit(95)), retention_gate(F.lit(100), F.lit(94))).first()
@@ -97,6 +116,8 @@ def test_one_failing_source_leaves_the_others(spark, tmp_path):
     assert done["ingest"]["order_items"] == "SUCCESS" and done["ingest"]["date_dim"].startswith("FAILED: no connection")
     assert run.lake.exists(RAW, ITEMS) and not run.lake.exists(CLEAN, ITEMS)
     assert read_log(spark, f"{run.lake.root}/run_log").first().overall_status == "PARTIAL_FAILURE"
+    with pytest.raises(RuntimeError, match="PARTIAL_FAILURE"):
+        run_daily(run, strict=True)
 
 
 def test_two_daily_runs_give_the_same_tables(spark, tmp_path):
