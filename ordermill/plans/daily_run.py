@@ -194,6 +194,8 @@ def run_daily(run: Run, strict: bool = False) -> dict[str, dict[str, str]]:
     Returns the table statuses per layer; layers after a failure are missing,
     or, if ``strict``, a failure is raised once it is logged.
     """
+    if run.lake.spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z", "+00:00"):
+        raise ValueError("order days and hours are those of UTC: set spark.sql.session.timeZone to UTC")
     done: dict[str, dict[str, str]] = {}
     for name, build, layer in LAYERS:
         statuses = build(run)
@@ -235,5 +237,6 @@ def reload_range(run: Run, start: date, end: date) -> None:
         lake.upsert(clean(extract), CLEAN, name, keys, [LOAD_DATE])
     first = start.replace(day=1)
     months = lake.read(CLEAN, ITEMS).filter(F.col("order_date").between(F.lit(first), F.last_day(F.lit(end))))
-    fact = fact_orders(months, lake.read(CLEAN, OPTIONS), run.run_ts)
+    theirs = lake.read(CLEAN, OPTIONS).join(months.select("ORDER_ID").distinct(), "ORDER_ID", "left_semi")
+    fact = fact_orders(months, theirs, run.run_ts)
     lake.replace_partitions(fact, SERVING, "fact_orders", ["order_year_month"])

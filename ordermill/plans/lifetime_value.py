@@ -14,7 +14,7 @@ from ordermill.session import materialize
 
 TIERS = 5
 NO_SPEND = "Pre-Activity"
-ROWS_PER_TASK, MOST_TASKS = 4_000_000, 50_000
+ROWS_PER_TASK, MOST_TASKS = 16_000_000, 50_000
 
 
 def stored_intervals(fact: DataFrame, customers: DataFrame, calendar: DataFrame) -> DataFrame:
