@@ -66,8 +66,9 @@ def latest_tier_counts(by_day: DataFrame) -> DataFrame:
 def clv_kpis(clv: DataFrame) -> DataFrame:
     """Customers scored, first and last day, greatest running spend, and its median on the last day."""
     last_day = clv.agg(F.max("date_key")).scalar()
-    median = group_quantiles(
-        clv.filter(F.col("date_key") == last_day), [], F.col("cumulative_spend"), {"median": 0.5}, scale=2)
+    # The year prunes the partitions of the stored table.
+    latest = clv.filter((F.col("snapshot_year") == F.year(last_day)) & (F.col("date_key") == last_day))
+    median = group_quantiles(latest, [], F.col("cumulative_spend"), {"median": 0.5}, scale=2)
     return clv.agg(
         F.count_distinct("user_id").alias("customers_scored"),
         F.min("date_key").alias("earliest_date"),

@@ -77,7 +77,8 @@ def test_lifetime_value_reports(spark):
           ('a', DATE'2023-01-02', CAST(0 AS DECIMAL(18,2)), CAST(4 AS DECIMAL(18,2)), 'Low'),
           ('b', DATE'2023-01-02', CAST(9 AS DECIMAL(18,2)), CAST(9 AS DECIMAL(18,2)), 'High'),
           ('c', DATE'2023-01-02', CAST(0 AS DECIMAL(18,2)), CAST(0 AS DECIMAL(18,2)), 'Pre-Activity')
-        AS t(user_id, date_key, daily_revenue, cumulative_spend, clv_tier)""")
+        AS t(user_id, date_key, daily_revenue, cumulative_spend, clv_tier)""").withColumn(
+        "snapshot_year", F.year("date_key"))
     by_day = reports.clv_by_day(clv)
     assert [(r.date_key.day, r.clv_tier, r.customer_count, r.median_spend) for r in by_day.collect()] == [
         (1, "Low", 1, 4.0), (2, "High", 1, 9.0), (2, "Low", 1, 4.0)]
