@@ -12,7 +12,7 @@ import sys
 import time
 
 from checks.registry import QUERIES, Tables, plain
-from ordermill.session import build_session
+from ordermill.session import build_session, use_checkpoint_folder
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -30,7 +30,7 @@ HEADLINES = (
 def main() -> None:
     spark = build_session("bench", f"local[{CPUS}]", **{
         "spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false", "spark.driver.memory": "20g"})
-    spark.sparkContext.setLogLevel("ERROR")
+    use_checkpoint_folder(spark).sparkContext.setLogLevel("ERROR")
     tables = Tables(spark, FOLDER)
     seconds: dict[str, float] = {}
     for name in HEADLINES:

@@ -14,7 +14,7 @@ import pandas as pd
 
 from checks.oracle import ORACLES
 from checks.registry import QUERIES, run_query
-from ordermill.session import build_session
+from ordermill.session import build_session, use_checkpoint_folder
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
@@ -58,7 +58,7 @@ def main() -> int:
     folder, names = sys.argv[1], sys.argv[2:] or list(QUERIES)
     spark = build_session("checks", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"})
-    spark.sparkContext.setLogLevel("ERROR")
+    use_checkpoint_folder(spark).sparkContext.setLogLevel("ERROR")
     connection = connect(folder)
     failed = []
     for name in names:

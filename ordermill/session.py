@@ -29,17 +29,26 @@ def build_session(app_name: str = "ordermill", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def use_checkpoint_folder(spark: SparkSession) -> SparkSession:
+    """Give a session without ``spark.checkpoint.dir`` a folder of its own.
+
+    For entry points of tests, benches and trials; a cluster names its shared
+    folder in the setting, which is then left as it is.
+    """
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ordermill-"))
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The checkpoint folder of this application; only a local session may lack the setting."""
+    """The application's folder under ``spark.checkpoint.dir``, which has to be set."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="ordermill-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 

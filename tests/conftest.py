@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from ordermill.session import build_session  # noqa: E402
+from ordermill.session import build_session, use_checkpoint_folder  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -15,5 +15,5 @@ def spark():
     session = build_session("tests", "local[8]", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
     session.sparkContext.setLogLevel("ERROR")
-    yield session
+    yield use_checkpoint_folder(session)
     session.stop()
