@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import chat_format, quality_rules, url_filter
+from ordermill.llm import byte_bpe, chat_format, exact_topk, quality_rules, url_filter
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -133,10 +134,37 @@ SELECT page_id, host, path, rule,
 FROM p LEFT JOIN best USING (host, path)
 """
 
+
+def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = byte_bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return encoded.select(
+        "doc_id", (F.octet_length("token_ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("token_bytes", 256).alias("decoded_sha256"))
+
+
+def op9_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_topk.exact_topk(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP9_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND NOT list_contains(list_transform(embedding, lambda x: coalesce(isfinite(x), false)), false))
+SELECT q.vec_id AS query_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.x, c.x) DESC, c.vec_id)::INT AS rank,
+       c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0 QUALIFY rank <= 5
+"""
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op5_chat_format": op5_chat_format,
     "op6_url_filter": op6_url_filter,
+    "op8_byte_bpe": op8_byte_bpe,
+    "op9_exact_topk": op9_exact_topk,
 }
 
-SQL = {"op2_quality_rules": OP2_SQL, "op5_chat_format": OP5_SQL, "op6_url_filter": OP6_SQL}
+SQL = {
+    "op2_quality_rules": OP2_SQL, "op5_chat_format": OP5_SQL, "op6_url_filter": OP6_SQL, "op9_exact_topk": OP9_SQL,
+}
