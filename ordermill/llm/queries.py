@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import byte_bpe, chat_format, exact_topk, quality_rules, url_filter
+from ordermill.llm import byte_bpe, chat_format, classifiers, exact_topk, quality_rules, url_filter
+from ordermill.llm.labelled import held_out
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -157,10 +158,29 @@ SELECT q.vec_id AS query_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY l
 FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0 QUALIFY rank <= 5
 """
 
+
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = classifiers.quality_scores(docs.select("doc_id", "text"), docs, labels, "score")
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= classifiers.KEPT_QUALITY).cast("int").alias("predicted"))
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = classifiers.toxicity_scores(docs.select("doc_id", "text"), docs, labels, "score")
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= classifiers.TOXIC).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_chat_format": op5_chat_format,
     "op6_url_filter": op6_url_filter,
+    "op7_toxicity": op7_toxicity,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_topk": op9_exact_topk,
 }
