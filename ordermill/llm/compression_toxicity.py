@@ -49,7 +49,7 @@ class Shape:
     """
 
     grams: tuple[int, ...] = (4, 5, 6, 7, 8)
-    times: int = 3
+    times: int = 8
     least: float = 0.004
     stray: float = 0.02
     common_words: int = 400
