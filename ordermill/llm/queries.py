@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import byte_bpe, chat_format, classifiers, exact_topk, quality_rules, url_filter
+from ordermill.llm import byte_bpe, chat_format, classifiers, exact_topk, jaccard_forest, quality_rules, url_filter
 from ordermill.llm.labelled import held_out
 
 
@@ -175,6 +175,11 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= classifiers.TOXIC).cast("int").alias("predicted"))
 
 
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    groups = jaccard_forest.similarity_groups(table(spark, folder, "documents").select("doc_id", "text"))
+    return groups.select("doc_id", "class_id", "copy_id", "n_links")
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op4_quality_classifier": op4_quality_classifier,
@@ -183,6 +188,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_topk": op9_exact_topk,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 SQL = {
