@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import byte_bpe, chat_format, classifiers, exact_topk, jaccard_forest, quality_rules, url_filter
+from ordermill.llm import byte_bpe, chat_format, classifiers, exact_topk, jaccard_forest, quality_rules, secret_scan, url_filter
 from ordermill.llm.labelled import held_out
 
 
@@ -159,6 +159,22 @@ FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.
 """
 
 
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", secret_scan.scanner(docs).spans(F.col("text")).alias("found"))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    base = F.filter("found", lambda s: s["kind"] != "field")
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("found")).alias("spans"), count("field"))
+
+
 def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     scored = classifiers.quality_scores(docs.select("doc_id", "text"), docs, labels, "score")
@@ -182,6 +198,7 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_secret_scan": op3_secret_scan,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_chat_format": op5_chat_format,
     "op6_url_filter": op6_url_filter,
