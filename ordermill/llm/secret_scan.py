@@ -114,6 +114,7 @@ def tokens(part: cp.Block) -> Tokens:
              + (total(hexadecimal) == length) * 2 + (digits + uppers + lowers < length))
     folded = codes + np.uint32(32) * upper.astype(np.uint32)
     word = 1 + (cp.span_hashes(folded, starts, ends) % np.uint64(WORDS - 1)).astype(np.int64)
+    word[(digits > 0) | (length > 16)] = 0  # not words: their shape has to tell
     text = np.repeat(np.arange(len(counts)), counts)
 
     def neighbour(values: np.ndarray, step: int) -> np.ndarray:
@@ -262,6 +263,8 @@ class Sample:
     rounds: int = 80
     rate: float = 0.3
     decay: float = 1e-3
+    #: Words decay faster, so that names of secrets that were not in the sample don't speak against one.
+    word_decay: float = 2e-2
     seed: int = 5
 
 
@@ -336,6 +339,8 @@ def train(texts: list[str], sample: Sample = Sample()) -> Field | None:
     np.add.at(moves, (tags[:, :-1].ravel(), tags[:, 1:].ravel()), 1)
     flat = features.reshape(-1, features.shape[-1])
     emission, transition = np.zeros((N_FEATURES, 3)), np.zeros((3, 3))
+    decay = np.full((N_FEATURES, 1), sample.decay)
+    decay[SHAPES:SHAPES + 5 * WORDS] = sample.word_decay
     squares = [np.full_like(emission, 1e-2), np.full_like(transition, 1e-2)]
     for _ in range(sample.rounds):
         scores = emission[flat].sum(axis=1).reshape(n, -1, 3)
@@ -345,9 +350,9 @@ def train(texts: list[str], sample: Sample = Sample()) -> Field | None:
         for tag in range(3):
             for column in range(flat.shape[1]):
                 push[:, tag] += np.bincount(flat[:, column], weights=error[:, tag], minlength=N_FEATURES)
-        for weights, gradient, square in zip(
-                (emission, transition), (push, moves - expected), squares, strict=True):
-            gradient = gradient - sample.decay * n * weights
+        for weights, gradient, square, shrink in zip(
+                (emission, transition), (push, moves - expected), squares, (decay, sample.decay), strict=True):
+            gradient = gradient - shrink * n * weights
             square += gradient**2
             weights += sample.rate * gradient / np.sqrt(square)
     return Field(emission.astype(np.float32), transition)
