@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import byte_bpe, chat_format, classifiers, exact_topk, jaccard_forest, quality_rules, secret_scan, url_filter
+from ordermill.llm import byte_bpe, chat_format, classifiers, exact_topk, jaccard_forest, packing, quality_rules, secret_scan, url_filter
 from ordermill.llm.labelled import held_out
 
 
@@ -14,6 +15,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.apply_rules(table(spark, folder, "documents"))
     return judged.select(
@@ -196,7 +201,12 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", "class_id", "copy_id", "n_links")
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_rules": op2_quality_rules,
     "op3_secret_scan": op3_secret_scan,
     "op4_quality_classifier": op4_quality_classifier,
@@ -206,6 +216,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_topk": op9_exact_topk,
     "op10_jaccard_join": op10_jaccard_join,
+    "pipeline": pipeline,
 }
 
 SQL = {
