@@ -259,6 +259,12 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
             "low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other", "n_blocks")
 
 
+def _by_block_pair(rows: DataFrame):
+    """Grouped by pair of blocks, over all shuffle partitions: the work is in comparing, so few bytes may be many tasks' work."""
+    keys = ["bucket", "low", "high"]
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys).groupBy(*keys)
+
+
 def _sized(members: DataFrame, forest: Forest) -> DataFrame:
     """(bucket, tree, n_blocks) of the buckets with two classes or more."""
     return members.groupBy("bucket", "tree").agg(
@@ -284,7 +290,7 @@ def class_links(signed: DataFrame, docs: DataFrame, forest: Forest, id_col: str,
     shared = materialize(members.join(_sized(members, forest), ["bucket", "tree"]).select(
         "bucket", "tree", "key", "n_blocks"), "shared")
     looked = _block_pairs(shared.join(classes.select("key", "buckets", "sketch"), "key"))
-    wanted = looked.groupBy("bucket", "low", "high").applyInArrow(
+    wanted = _by_block_pair(looked).applyInArrow(
         lambda table: needed(table, forest), "bucket bigint, tree int, key binary").distinct()
     wanted = materialize(wanted.join(classes.select("key", "n_shingles"), "key"), "wanted")
     again = _sized(wanted, forest)
@@ -298,7 +304,7 @@ def class_links(signed: DataFrame, docs: DataFrame, forest: Forest, id_col: str,
     placed = _block_pairs(found.withColumn("place", F.explode("places")).select(
         "key", "copies", "buckets", "sketch", "text", "place.*"))
     # A repeated row would count twice, and blocks have each class once.
-    rows = placed.groupBy("bucket", "low", "high").applyInArrow(
+    rows = _by_block_pair(placed).applyInArrow(
         lambda table: verified(_first_of_each(table), forest), "key binary, links bigint, root binary")
     rows = materialize(rows, "links")
     component = connected_components(rows.select(F.col("key").alias("a"), F.col("root").alias("b")).distinct(), "linked")
