@@ -341,6 +341,14 @@ items AS (
   UNION ALL SELECT * FROM items_new)""" + "," + order_fact("fact", "items", "opts")
 
 
+MOVED = RAW + f""",
+items_moved AS (
+  SELECT * REPLACE (CASE WHEN strftime(ts, '%Y-%m') = '2022-09' THEN TIMESTAMP '2022-04-15 10:00:00' ELSE ts END AS ts)
+  FROM items_raw),
+{clean_items("items_then", "items_raw")}, {clean_items("items_now", "items_moved")}, {clean_opts("opts", "opts_raw")},
+{order_fact("fact_then", "items_then", "opts")}, {order_fact("fact_now", "items_now", "opts")}"""
+
+
 def stored_counts() -> str:
     """Rows per table of a daily run."""
     layers = {
@@ -481,6 +489,10 @@ FROM cal_numbered WHERE number % 50 <> 0""", RAW),
     "reload_months": q(
         f"SELECT strftime(order_date, '%Y-%m') AS order_year_month, count(*) AS orders, {usd('sum(total_c)')} AS revenue "
         "FROM fact GROUP BY 1", RELOADED),
+    "reload_moved_orders": q(" UNION ALL ".join(
+        f"SELECT '{state}' AS state, strftime(order_date, '%Y-%m') AS order_year_month, count(*) AS orders, "
+        f"{usd('sum(total_c)')} AS revenue FROM {fact} GROUP BY 2"
+        for state, fact in (("reloaded", "fact_now"), ("rolled back", "fact_then"))), MOVED),
     "dim_date": q(f"SELECT {DATE_COLUMNS} FROM days LEFT JOIN holidays ON date_key = d"),
     "dim_customer": q(f"SELECT {CUSTOMER_COLUMNS} FROM cust"),
     "dim_restaurant": q(f"""
@@ -563,6 +575,9 @@ SELECT date_key, {usd('spend_c')} AS cumulative_spend, {usd('rev_c')} AS daily_r
     "rep_segment_share_other": q(
         share("segment", "segment", "rfm_other", "customer_count", 1),
         BASE + ", rfm_other AS (SELECT * FROM rfm WHERE NOT is_loyalty)"),
+    "rep_segment_sample": q(f"SELECT {RFM_COLUMNS} FROM rfm ORDER BY md5('42:' || user_id), user_id LIMIT 60"),
+    "rep_churn_sample": q(
+        "SELECT * FROM churn WHERE spend_change_pct IS NOT NULL ORDER BY md5('42:' || user_id), user_id LIMIT 60"),
     "rep_score_heat": q("SELECT r AS r_score, f AS f_score, count(*) AS customer_count FROM rfm GROUP BY 1, 2"),
     "rep_segment_leaderboard": q(f"""
 SELECT segment, loyalty_label, count(*) AS customer_count, {usd('sum(monetary_c)')} AS total_monetary,

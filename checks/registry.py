@@ -42,6 +42,8 @@ from ordermill.sources.run_log import read_log, retention_gate, volume_gate
 
 RULES = ItemRules(
     excluded_apps=(sample_data.TEST_APP,), excluded_restaurants=(sample_data.TEST_RESTAURANT,))
+#: Fewer than the customers of the sample tables, so that something is left out.
+SAMPLE = 60
 RUN_DATE, RUN_TS = "2026-01-01", "2026-01-01T02:00:00Z"
 
 _stored: dict[tuple[str, str, str], DataFrame] = {}
@@ -257,6 +259,33 @@ def reload_months(t: Tables) -> DataFrame:
         F.count("*").alias("orders"), F.sum("total_revenue").cast("decimal(18,2)").alias("revenue"))
 
 
+def reload_moved_orders(t: Tables) -> DataFrame:
+    """Fact per month after orders of a month were read again with a day in another month, and after a rollback."""
+    lake = t.new_lake("moved")
+    start, end = date(2022, 3, 10), date(2022, 5, 20)
+    run = Run(lake, t.source, RUN_DATE, RUN_TS, RULES)
+    ingest_raw(run)
+    lake.upsert(t.items.withColumn("ingestion_date", F.lit(RUN_DATE)), CLEAN, ITEMS, ITEM_KEYS, ["ingestion_date"])
+    lake.upsert(t.options.withColumn("ingestion_date", F.lit(RUN_DATE)), CLEAN, OPTIONS, OPTION_KEYS, ["ingestion_date"])
+    lake.overwrite(t.fact, SERVING, "fact_orders", ["order_year_month"])
+
+    def later(spec) -> DataFrame:
+        df = t.source(spec)
+        moved = F.when(F.col("CREATION_TIME_UTC").startswith("2022-09"), F.lit("2022-04-15T10:00:00.000Z"))
+        return df.withColumn("CREATION_TIME_UTC", F.coalesce(moved, "CREATION_TIME_UTC")) if spec.name == ITEMS else df
+
+    reload_range(Run(lake, later, "2026-01-02", RUN_TS, RULES), start, end)
+
+    def months(state: str) -> DataFrame:
+        return lake.load("fact_orders").groupBy("order_year_month").agg(
+            F.count("*").alias("orders"), F.sum("total_revenue").cast("decimal(18,2)").alias("revenue")).select(
+                F.lit(state).alias("state"), "*")
+
+    after = materialize(months("reloaded"), "moved-after")
+    lake.rollback(SERVING, "fact_orders")
+    return after.unionByName(months("rolled back"))
+
+
 def calendar_from_csv(t: Tables) -> DataFrame:
     path = scratch_folder(t.spark, "calendar-csv")
     t.raw_calendar.write.mode("overwrite").option("header", True).csv(path)
@@ -340,6 +369,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "option_stage_counts": lambda t: option_stage_counts(t.raw_options),
     "upsert_items": upsert_items,
     "rollback_items": rollback_items,
+    "reload_moved_orders": reload_moved_orders,
     "reload_months": reload_months,
     # dimensions and fact
     "dim_date": lambda t: t.calendar,
@@ -379,11 +409,11 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "rep_segment_loyalty": lambda t: reports.segment_by_loyalty(t.rfm),
     "rep_segment_share": lambda t: reports.segment_share(t.rfm),
     "rep_segment_share_other": lambda t: reports.segment_share(t.rfm, "Non-Loyalty only"),
-    "rep_segment_sample": lambda t: reports.segment_sample(t.rfm),
+    "rep_segment_sample": lambda t: reports.segment_sample(t.rfm, size=SAMPLE),
     "rep_score_heat": lambda t: reports.score_heat(t.rfm),
     "rep_segment_leaderboard": lambda t: reports.segment_leaderboard(t.rfm),
     "rep_churn_tags": lambda t: reports.churn_tags_both(t.churn),
-    "rep_churn_sample": lambda t: reports.churn_sample(t.churn),
+    "rep_churn_sample": lambda t: reports.churn_sample(t.churn, SAMPLE),
     "rep_churn_breakdown": lambda t: reports.churn_breakdown(t.churn),
     "rep_churn_breakdown_personal": lambda t: reports.churn_breakdown(t.churn, "churn_tag_personal"),
     "rep_churn_alerts": lambda t: reports.churn_alerts(t.churn),

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,21 +27,32 @@ def blank_to_null(col: Column) -> Column:
     return F.nullif(F.trim(col), F.lit(""))
 
 
-def tidy_category(col: Column) -> Column:
-    """Repair the known damaged category names; the first rule that matches wins."""
-    # Damaged spellings and the categories they stand for.
-    rules = [
-        (F.coalesce(F.trim(col), F.lit("")) == "", "Unknown"),
-        (F.contains(col, F.lit("BBQ Plates")), "BBQ Plates"),
-        (col == "Bowls0", "Bowls"),
-        (col.rlike(r"^\s*Sandwiches.*$"), "Sandwiches"),
-        (col.like("%Drip C%") & col.like("%offee%"), "Drip Coffee"),
-        (col == "Sqalads", "Salads"),
-        ((col == "Kids") | F.startswith(col, F.lit("Kid's")), "Kid's"),
-    ]
+# How a damaged category name is recognised, the texts looked for, and the category it stands for.
+CATEGORY_REPAIRS = (
+    ("blank", (), "Unknown"),
+    ("contains", ("BBQ Plates",), "BBQ Plates"),
+    ("equals", ("Bowls0",), "Bowls"),
+    ("matches", (r"^\s*Sandwiches.*$",), "Sandwiches"),
+    ("contains", ("Drip C", "offee"), "Drip Coffee"),
+    ("equals", ("Sqalads",), "Salads"),
+    ("equals", ("Kids",), "Kid's"),
+    ("starts with", ("Kid's",), "Kid's"),
+)
+
+TESTS = {
+    "equals": Column.__eq__,
+    "contains": Column.contains,
+    "starts with": Column.startswith,
+    "matches": Column.rlike,
+}
+
+
+def tidy_category(col: Column, repairs: Sequence[tuple[str, tuple[str, ...], str]] = CATEGORY_REPAIRS) -> Column:
+    """The label of the first repair (test, texts that all have to pass it, label) that fits, else the trimmed name."""
     chain = F
-    for matches, label in rules:
-        chain = chain.when(matches, F.lit(label))
+    for test, texts, label in repairs:
+        fits = blank_to_null(col).isNull() if test == "blank" else reduce(and_, [TESTS[test](col, t) for t in texts])
+        chain = chain.when(fits, F.lit(label))
     return chain.otherwise(F.trim(col))
 
 

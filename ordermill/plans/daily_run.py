@@ -27,7 +27,8 @@ from ordermill.plans.orders import fact_orders
 from ordermill.plans.sales import sales_daily, sales_monthly, sales_weekly
 from ordermill.plans.segments import rfm_segments
 from ordermill.plans.upsell import upsell_summary, upsell_top_options
-from ordermill.schemas import CALENDAR_KEYS, ITEM_KEYS, OPTION_KEYS, PARTITION_COLUMNS
+from ordermill.schemas import CALENDAR_KEYS, ITEM_KEYS, OPTION_KEYS, PARTITION_COLUMNS, SERVING_TABLES
+from ordermill.session import materialize
 from ordermill.sources.holidays import us_holidays
 from ordermill.sources.lake import CLEAN, RAW, SERVING, Lake, TableSpec
 from ordermill.sources.run_log import append_run
@@ -36,6 +37,7 @@ log = logging.getLogger(__name__)
 
 ITEMS, OPTIONS, CALENDAR = "order_items", "order_item_options", "date_dim"
 LOAD_DATE = "ingestion_date"
+MONTH = PARTITION_COLUMNS["fact_orders"]
 
 SOURCES = (
     TableSpec(ITEMS, ITEM_KEYS),
@@ -218,13 +220,17 @@ def run_daily(run: Run, strict: bool = False) -> dict[str, dict[str, str]]:
 def reload_range(run: Run, start: date, end: date) -> None:
     """Read the line items of a date range again, with their options, and bring the fact up to date.
 
-    Raw and clean tables are upserted; of the fact only the months of the range
-    are rewritten.  Dimensions and metrics follow from the next daily run.
+    Raw and clean tables are upserted.  Of the fact the months of the range are
+    rewritten, and those that the orders read again stood in before, so an
+    order that moves to another day leaves no row behind.  Dimensions and
+    metrics follow from the next daily run; ``stale_after_reload`` names them.
     """
     lake = run.lake
+    fact_before = lake.load("fact_orders")
     specs = {spec.name: spec for spec in run.sources}
     day = F.to_date(F.try_to_timestamp(F.col("CREATION_TIME_UTC")))
     items = run.read(specs[ITEMS]).filter(day.between(F.lit(start), F.lit(end)))
+    items = materialize(items, "reload-items")
     orders = items.select("ORDER_ID").distinct()
     options = run.read(specs[OPTIONS]).join(orders, "ORDER_ID", "left_semi")
     stamps = {LOAD_DATE: F.lit(run.run_date), "ingestion_timestamp": F.lit(run.run_ts)}
@@ -235,8 +241,16 @@ def reload_range(run: Run, start: date, end: date) -> None:
         extract = extract.withColumns(stamps)
         lake.upsert(extract, RAW, name, keys, [LOAD_DATE])
         lake.upsert(clean(extract), CLEAN, name, keys, [LOAD_DATE])
-    first = start.replace(day=1)
-    months = lake.read(CLEAN, ITEMS).filter(F.col("order_date").between(F.lit(first), F.last_day(F.lit(end))))
-    theirs = lake.read(CLEAN, OPTIONS).join(months.select("ORDER_ID").distinct(), "ORDER_ID", "left_semi")
-    fact = fact_orders(months, theirs, run.run_ts)
-    lake.replace_partitions(fact, SERVING, "fact_orders", ["order_year_month"])
+    stood = fact_before.join(orders.select(F.col("ORDER_ID").alias("order_id")), "order_id", "left_semi").select(MONTH).distinct()
+    asked = {f"{y:04d}-{m:02d}" for y in range(start.year, end.year + 1) for m in range(1, 13)
+             if (start.year, start.month) <= (y, m) <= (end.year, end.month)}
+    months = sorted(asked | {row[0] for row in stood.collect() if row[0]})  # one line per month
+    affected = lake.read(CLEAN, ITEMS).filter(F.date_format("order_date", "yyyy-MM").isin(months))
+    theirs = lake.read(CLEAN, OPTIONS).join(affected.select("ORDER_ID").distinct(), "ORDER_ID", "left_semi")
+    fact = fact_orders(affected, theirs, run.run_ts)
+    lake.replace_partitions(fact, SERVING, "fact_orders", MONTH, months)
+
+
+def stale_after_reload(run: Run) -> list[str]:
+    """Serving tables that a range reload leaves as they were, to be built again by the next daily run."""
+    return [name for name in SERVING_TABLES if name != "fact_orders" and run.lake.exists(SERVING, name)]

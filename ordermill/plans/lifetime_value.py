@@ -14,7 +14,7 @@ from ordermill.session import materialize
 
 TIERS = 5
 NO_SPEND = "Pre-Activity"
-ROWS_PER_TASK, MOST_TASKS = 16_000_000, 50_000
+ROWS_PER_TASK = 16_000_000
 
 
 def stored_intervals(fact: DataFrame, customers: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -27,12 +27,14 @@ def stored_intervals(fact: DataFrame, customers: DataFrame, calendar: DataFrame)
     spark = fact.sparkSession
     age = F.datediff(calendar.agg(F.max("date_key")).scalar(), F.col("first_order_date")) + 1
     rows, days = customers.agg(F.coalesce(F.sum(age), F.lit(0)), F.coalesce(F.max(age), F.lit(0))).first()
-    tasks = min(max(rows // ROWS_PER_TASK, spark.sparkContext.defaultParallelism), MOST_TASKS)
+    tasks = max(rows // ROWS_PER_TASK, spark.sparkContext.defaultParallelism)
     spend_key = rank_key(F.col("cumulative_spend"), 2)
     intervals = spend_intervals(fact, customers, calendar).withColumns({
         "spend_key": spend_key, "spend_bucket": magnitude_bucket(spend_key, bucket_bits(rows, days))})
-    return materialize(
-        intervals.repartitionByRange(tasks, "user_id", "day").sortWithinPartitions("user_id", "day"), "spend-intervals")
+    # Dealt out once more after the read: small files are packed together when they are read,
+    # and a task would expand all that is in its pack.
+    return materialize(intervals, "spend-intervals").repartitionByRange(tasks, "user_id", "day").sortWithinPartitions(
+        "user_id", "day")
 
 
 def spend_intervals(fact: DataFrame, customers: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -81,14 +81,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     fs, target = hadoop_path(spark, path)
     fs.deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small input out to all cores.
-
-    A file with one row group is read by one task, and so is everything up to
-    the next shuffle.  Inputs that come in more pieces than there are cores, as
-    large tables do, are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

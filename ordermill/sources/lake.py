@@ -10,10 +10,12 @@ by moving the pointer back.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ordermill.operators.dedupe import keep_one
@@ -60,11 +62,25 @@ class Lake:
     def current(self, layer: str, table: str) -> int | None:
         """Number of the published snapshot, None if the table does not exist.
 
-        Only a missing pointer means "absent"; any other error is raised, so
-        that an unreadable store is never mistaken for an empty one.
+        Only a table without pointer and snapshots is "absent".  A pointer that
+        is empty or no number, or is missing beside complete snapshots, is an
+        error: a damaged table is never mistaken for a new one.
         """
-        line = self._read_line(f"{self._table_path(layer, table)}/{POINTER}")
-        return None if line is None else int(line)
+        path = f"{self._table_path(layer, table)}/{POINTER}"
+        fs, target = hadoop_path(self.spark, path)
+        if not fs.exists(target):
+            # An early write that failed before it was ever published leaves no complete snapshot with a schema.
+            if any(self._has_schema(layer, table, version) for version in self.versions(layer, table)):
+                raise RuntimeError(f"{layer}/{table} has snapshots but no {POINTER}: restore it with publish()")
+            return None
+        line = (self._read_line(path) or "").strip()
+        if not line.isdigit():
+            raise RuntimeError(f"{path} does not name a snapshot: {line!r}; restore it with publish()")
+        return int(line)
+
+    def _has_schema(self, layer: str, table: str, version: int) -> bool:
+        fs, path = hadoop_path(self.spark, f"{self.snapshot_path(layer, table, version)}/{SCHEMA_FILE}")
+        return fs.exists(path)
 
     def exists(self, layer: str, table: str) -> bool:
         return self.current(layer, table) is not None
@@ -84,14 +100,26 @@ class Lake:
             stream.close()
 
     def _write_line(self, path: str, line: str) -> None:
+        """Write a small file beside its place and move it there, so that readers see the old line or the new one."""
         fs, target = hadoop_path(self.spark, path)
-        stream = fs.create(target, True)
+        beside = hadoop_path(self.spark, f"{path}.{uuid.uuid4().hex}")[1]
+        stream = fs.create(beside, True)
         try:
             stream.writeBytes(line + "\n")
         finally:
             stream.close()
-
-    def _point_to(self, layer: str, table: str, version: int) -> None:
+        context, jvm = self.spark.sparkContext, self.spark.sparkContext._jvm
+        rename = jvm.org.apache.hadoop.fs.Options.Rename
+        options = context._gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            fs.makeQualified(target).toUri(), context._jsc.hadoopConfiguration())
+        files.rename(fs.makeQualified(beside), fs.makeQualified(target), options)
+
+    def publish(self, layer: str, table: str, version: int) -> None:
+        """Make a complete snapshot the current one, whatever the pointer says now."""
+        if version not in self.versions(layer, table):
+            raise ValueError(f"{layer}/{table} has no complete snapshot {version}")
         self._write_line(f"{self._table_path(layer, table)}/{POINTER}", str(version))
 
     def read(self, layer: str, table: str, version: int | None = None) -> DataFrame:
@@ -120,7 +148,7 @@ class Lake:
         path = self.snapshot_path(layer, table, number)
         writer.save(path)
         self._write_line(f"{path}/{SCHEMA_FILE}", df.schema.json())
-        self._point_to(layer, table, number)
+        self.publish(layer, table, number)
         if self.keep is not None:
             self.drop_old(layer, table, self.keep)
         return number
@@ -147,16 +175,22 @@ class Lake:
             fresh = replace_by_key(self.read(layer, table), materialize(fresh, f"{table}-extract"), keys)
         return self.overwrite(fresh, layer, table, partition_by)
 
-    def replace_partitions(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str]) -> None:
-        """Rewrite only the partitions present in ``df``, inside the current snapshot (backfills)."""
-        number = self.current(layer, table)
-        if number is None:
-            raise FileNotFoundError(f"no table {layer}/{table} under {self.root}")
-        (
-            df.hint("rebalance", *partition_by)
-            .write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partition_by).save(self.snapshot_path(layer, table, number))
-        )
+    def replace_partitions(
+        self, df: DataFrame, layer: str, table: str, partition_by: str, replaced: Sequence[str] | None = None,
+    ) -> int:
+        """Publish a snapshot in which the partitions ``replaced`` hold the rows of ``df`` instead (backfills).
+
+        Without ``replaced`` these are the partitions that ``df`` has rows of.
+        One that is replaced by no rows goes.  The rows of the others are
+        carried over by a scan that the partition filter keeps from the
+        replaced ones; the snapshot before stays for a rollback.
+        """
+        if replaced is None:
+            replaced = [row[0] for row in df.select(partition_by).distinct().collect()]  # one line per partition
+        stays = ~F.col(partition_by).isin(list(replaced)) | F.col(partition_by).isNull()
+        kept = self.read(layer, table).filter(stays)
+        fresh = df.filter(~stays)
+        return self.overwrite(kept.unionByName(fresh), layer, table, [partition_by], rebalance=True)
 
     def rollback(self, layer: str, table: str, version: int | None = None) -> int:
         """Publish an earlier snapshot again, the last one before the current by default."""
@@ -166,7 +200,7 @@ class Lake:
         wanted = version if version is not None else (earlier[-1] if earlier else None)
         if wanted not in complete:
             raise ValueError(f"{layer}/{table} has no snapshot to go back to")
-        self._point_to(layer, table, wanted)
+        self.publish(layer, table, wanted)
         return wanted
 
     def load(self, name: str) -> DataFrame:

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.session import spread
-
 DAYS_LATER = 9131
 TEST_APP, TEST_RESTAURANT = "Shop - DEVELOPMENT", "R27"
 
@@ -31,7 +29,7 @@ def _order_time():
 
 def raw_order_items(spark: SparkSession, folder: str) -> DataFrame:
     lines, orders, parts = (_read(spark, folder, t) for t in ("lineitem", "orders", "part"))
-    joined = spread(lines).join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         parts, F.col("l_partkey") == F.col("p_partkey"))
     part, supplier, order = F.col("l_partkey"), F.col("l_suppkey") % 40, F.col("o_orderkey")
     loyal = F.col("o_orderpriority") == "1-URGENT"
@@ -60,7 +58,7 @@ def raw_order_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_order_item_options(spark: SparkSession, folder: str) -> DataFrame:
-    lines = spread(_read(spark, folder, "lineitem").filter(F.col("l_discount") > 0))
+    lines = _read(spark, folder, "lineitem").filter(F.col("l_discount") > 0)
     flag = F.col("l_returnflag")
     return lines.select(
         F.col("l_orderkey").cast("string").alias("ORDER_ID"),
@@ -96,7 +94,7 @@ def raw_calendar(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_purchases(spark: SparkSession, folder: str) -> DataFrame:
     """Purchase events as orders of one line item; unlike the orders above they have real times of day."""
-    events = spread(_read(spark, folder, "events").filter(F.col("event_type") == "purchase"))
+    events = _read(spark, folder, "events").filter(F.col("event_type") == "purchase")
     user = F.col("user_id")
     key = F.concat(F.lit("e"), F.col("event_id").cast("string"))
     cents = F.round(F.col("value") * 100).cast("bigint") % 5200

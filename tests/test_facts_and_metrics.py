@@ -17,7 +17,7 @@ from ordermill.plans.orders import fact_orders
 from ordermill.plans.sales import sales_monthly, sales_weekly
 from ordermill.plans.segments import rfm_base, rfm_segments
 from ordermill.plans.upsell import upsell_summary
-from ordermill.sources.holidays import holiday_rows, us_holidays
+from ordermill.sources.holidays import holiday_rows, holidays_by_rule, us_holidays
 from tests.rows import calendar, customers, fact, raw_item, raw_items, raw_option, raw_options
 
 RULES = ItemRules(excluded_apps=("Test App",), excluded_restaurants=("R9",))
@@ -78,10 +78,21 @@ def test_dimensions(spark):
 
 def test_holidays_are_fixed():
     rows = holiday_rows()
-    assert len(rows) == 54 and rows[0][0] == date(2020, 1, 1) and rows[-1][0] == date(2024, 12, 25)
+    listed = [r for r in rows if r[0].year < 2025]
+    assert len(listed) == 54 and listed[0][0] == date(2020, 1, 1) and listed[-1][0] == date(2024, 12, 25)
     assert [d for d, _ in rows] == sorted({d for d, _ in rows})
 
 
+def test_later_holidays_follow_the_rule():
+    rows = dict(holiday_rows())
+    assert [d.isoformat() for d in rows if d.year == 2026] == [
+        "2026-01-01", "2026-01-19", "2026-02-16", "2026-05-25", "2026-06-19", "2026-07-03", "2026-09-07", "2026-10-12",
+        "2026-11-11", "2026-11-26", "2026-12-25"]
+    assert rows[date(2026, 7, 3)] == "Independence Day (Observed)"
+    # The rule gives the listed days of a year in which none falls on a week-end.
+    assert holidays_by_rule(2024) == [(d, n) for d, n in holiday_rows() if d.year == 2024]
+
+
 def dense_brute_force(orders: pd.DataFrame, first_days: dict[str, date], last: date) -> dict:
     """Every customer and day by plain loops, tiers by sorting each day."""
     rows = {}

@@ -76,8 +76,29 @@ def test_partitions_keep_their_types_and_can_be_replaced(spark, tmp_path):
     orders = spark.createDataFrame([("1", "2020-01", 5), ("2", "2020-02", 6)], "id string, m string, v int")
     lake.overwrite(orders, SERVING, "fact_orders", ["m"], rebalance=True)
     assert dict(lake.load("fact_orders").dtypes)["m"] == "string"
-    lake.replace_partitions(spark.createDataFrame([("3", "2020-02", 7)], orders.schema), SERVING, "fact_orders", ["m"])
+    lake.replace_partitions(spark.createDataFrame([("3", "2020-02", 7)], orders.schema), SERVING, "fact_orders", "m")
     assert lines(lake.load("fact_orders").select("id", "m", "v")) == [("1", "2020-01", 5), ("3", "2020-02", 7)]
+    lake.replace_partitions(orders.limit(0), SERVING, "fact_orders", "m", ["2020-01"])  # nothing left: it goes
+    assert lines(lake.load("fact_orders").select("id", "m", "v")) == [("3", "2020-02", 7)]
+    lake.rollback(SERVING, "fact_orders", 1)
+    assert lines(lake.load("fact_orders").select("id", "m", "v")) == [("1", "2020-01", 5), ("2", "2020-02", 6)]
+
+
+@pytest.mark.parametrize("damage", ["", "\n", "snapshot?\n", None])
+def test_a_damaged_pointer_is_an_error(spark, tmp_path, damage):
+    lake = Lake(spark, str(tmp_path))
+    assert not lake.exists(RAW, "t")
+    lake.overwrite(frame(spark, ("a", 1, 1), ("b", 1, 2)), RAW, "t")
+    pointer = tmp_path / RAW / "t" / "_CURRENT"
+    pointer.unlink()
+    (tmp_path / RAW / "t" / "._CURRENT.crc").unlink(missing_ok=True)
+    if damage is not None:
+        pointer.write_text(damage)
+    with pytest.raises(RuntimeError, match="_CURRENT"):
+        lake.upsert(frame(spark, ("c", 1, 3)), RAW, "t", ["k"])
+    lake.publish(RAW, "t", 1)
+    lake.upsert(frame(spark, ("c", 1, 3)), RAW, "t", ["k"])
+    assert lake.read(RAW, "t").count() == 3
 
 
 def test_unknown_names_are_errors(spark, tmp_path):
