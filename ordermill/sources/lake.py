@@ -181,7 +181,7 @@ class Lake:
         """Publish a snapshot in which the partitions ``replaced`` hold the rows of ``df`` instead (backfills).
 
         Without ``replaced`` these are the partitions that ``df`` has rows of.
-        One that is replaced by no rows goes.  The rows of the others are
+        One that is replaced by no rows goes; columns that one side lacks are NULL there.  The rows of the others are
         carried over by a scan that the partition filter keeps from the
         replaced ones; the snapshot before stays for a rollback.
         """
@@ -190,7 +190,8 @@ class Lake:
         stays = ~F.col(partition_by).isin(list(replaced)) | F.col(partition_by).isNull()
         kept = self.read(layer, table).filter(stays)
         fresh = df.filter(~stays)
-        return self.overwrite(kept.unionByName(fresh), layer, table, [partition_by], rebalance=True)
+        whole = kept.unionByName(fresh, allowMissingColumns=True)
+        return self.overwrite(whole, layer, table, [partition_by], rebalance=True)
 
     def rollback(self, layer: str, table: str, version: int | None = None) -> int:
         """Publish an earlier snapshot again, the last one before the current by default."""
