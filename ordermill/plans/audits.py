@@ -130,7 +130,7 @@ def order_frequency(items: DataFrame) -> DataFrame:
     labels = [label for _, _, label in ORDERS_PER_CUSTOMER]
     sizes = per_customer.withColumn("order_range", range_label(F.col("orders"), ORDERS_PER_CUSTOMER))
     counts = count_and_share(sizes, ["order_range"], "customers", 1)
-    total = per_customer.agg(F.count("*")).scalar()
+    total = counts.agg(F.sum("customers")).scalar()
     # Eight lines at most.
     place = F.array_position(F.array(*map(F.lit, labels)), F.col("order_range"))
     running = F.sum("customers").over(Window.orderBy(place).rowsBetween(Window.unboundedPreceding, 0))

@@ -10,6 +10,7 @@ from ordermill.functions.labels import spend_tier
 from ordermill.functions.numbers import ratio
 from ordermill.operators.order_statistics import rank_key, with_tile
 from ordermill.schemas import money, stamped
+from ordermill.operators.distinct_counts import with_distinct_counts
 from ordermill.session import materialize
 
 TIERS = 5
@@ -67,15 +68,18 @@ def dim_customer(items: DataFrame, run_ts: str | None = None) -> DataFrame:
 
 
 def dim_restaurant(items: DataFrame, run_ts: str | None = None) -> DataFrame:
-    """Locations with totals on item revenue and a revenue rank, the smaller id first on a tie."""
-    totals = items.groupBy(F.col("RESTAURANT_ID").alias("restaurant_id")).agg(
-        F.count_distinct("ORDER_ID").alias("total_orders"),
-        money(F.sum("line_item_revenue")).alias("total_revenue"),
-        F.count_distinct("USER_ID").alias("unique_customers"),
-        F.min("order_date").alias("first_order_date"),
-        F.max("order_date").alias("last_order_date"),
-        F.count_distinct("order_date").alias("active_days"),
-    )
+    """Locations with totals on item revenue and a revenue rank, the smaller id first on a tie.
+
+    The line items are read once, and summed per order before anything is counted.
+    """
+    orders = materialize(items.groupBy(
+        F.col("RESTAURANT_ID").alias("restaurant_id"), "ORDER_ID", "USER_ID", "order_date",
+    ).agg(F.sum("line_item_revenue").alias("revenue")), "orders-by-location")
+    totals = with_distinct_counts(
+        orders, ["restaurant_id"],
+        [money(F.sum("revenue")).alias("total_revenue"), F.min("order_date").alias("first_order_date"),
+         F.max("order_date").alias("last_order_date")],
+        {"total_orders": "ORDER_ID", "unique_customers": "USER_ID", "active_days": "order_date"})
     # One line per location: the only rows a single ordered window ever sees.
     by_revenue = Window.orderBy(F.desc("total_revenue"), "restaurant_id")
     result = totals.withColumns({

@@ -64,17 +64,25 @@ def latest_tier_counts(by_day: DataFrame) -> DataFrame:
 
 
 def clv_kpis(clv: DataFrame) -> DataFrame:
-    """Customers scored, first and last day, greatest running spend, and its median on the last day."""
-    last_day = clv.agg(F.max("date_key")).scalar()
-    # The year prunes the partitions of the stored table.
-    latest = clv.filter((F.col("snapshot_year") == F.year(last_day)) & (F.col("date_key") == last_day))
+    """Customers scored, first and last day, greatest running spend, and its median on the last day.
+
+    Every customer has a row on the last day, and running spend never falls, so that day has all but the
+    first day; of the stored table only the first and the last year are read.
+    """
+    def day_of(year: Column, pick) -> Column:
+        return clv.filter(F.col("snapshot_year") == year).agg(pick("date_key")).scalar()
+
+    first_year, last_year = (clv.agg(pick("snapshot_year")).scalar() for pick in (F.min, F.max))
+    last_day = day_of(last_year, F.max)
+    latest = clv.filter((F.col("snapshot_year") == last_year) & (F.col("date_key") == last_day))
     median = group_quantiles(latest, [], F.col("cumulative_spend"), {"median": 0.5}, scale=2)
-    return clv.agg(
-        F.count_distinct("user_id").alias("customers_scored"),
-        F.min("date_key").alias("earliest_date"),
+    return latest.agg(
+        F.count("*").alias("customers_scored"),
         F.max("date_key").alias("latest_date"),
         F.max("cumulative_spend").alias("max_clv"),
-    ).withColumn("median_clv_latest", median.select("median").scalar())
+    ).select(
+        "customers_scored", day_of(first_year, F.min).alias("earliest_date"), "latest_date", "max_clv",
+        median.select("median").scalar().alias("median_clv_latest"))
 
 
 def top_customers(customers: DataFrame, n: int = TOP_CUSTOMERS) -> DataFrame:

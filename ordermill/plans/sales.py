@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.dates import iso_year
 from ordermill.functions.numbers import ratio
+from ordermill.operators.distinct_counts import with_distinct_counts
 from ordermill.schemas import money, stamped
+from ordermill.session import materialize
 
 
 def loyal(column: str) -> Column:
@@ -16,15 +18,20 @@ def loyal(column: str) -> Column:
 
 
 def sales_daily(items: DataFrame, run_ts: str | None = None) -> DataFrame:
-    """Item revenue per day, location and category; an order counts in each of its categories."""
-    result = items.groupBy(
+    """Item revenue per day, location and category; an order counts in each of its categories.
+
+    The line items are read once, and summed per order and category before anything is counted.
+    """
+    keys = ["order_date", "restaurant_id", "item_category"]
+    orders = materialize(items.groupBy(
         "order_date", F.col("RESTAURANT_ID").alias("restaurant_id"), F.col("ITEM_CATEGORY").alias("item_category"),
-    ).agg(
-        F.count_distinct("ORDER_ID").alias("order_count"),
-        F.count_distinct("USER_ID").alias("unique_customers"),
-        money(F.sum("line_item_revenue")).alias("total_item_revenue"),
-        loyal("IS_LOYALTY").alias("loyalty_line_items"),
-    ).withColumns({
+        "ORDER_ID", "USER_ID",
+    ).agg(F.sum("line_item_revenue").alias("revenue"), loyal("IS_LOYALTY").alias("loyal_lines")), "orders-by-category")
+    result = with_distinct_counts(
+        orders, keys,
+        [money(F.sum("revenue")).alias("total_item_revenue"), F.sum("loyal_lines").alias("loyalty_line_items")],
+        {"order_count": "ORDER_ID", "unique_customers": "USER_ID"},
+    ).select(*keys, "order_count", "unique_customers", "total_item_revenue", "loyalty_line_items").withColumns({
         "avg_order_revenue": ratio(F.col("total_item_revenue"), F.col("order_count")),
         "snapshot_year": F.year("order_date"),
     })

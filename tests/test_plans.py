@@ -9,8 +9,10 @@ import pytest
 from checks.registry import RULES, Tables
 from ordermill.operators.merge import upsert
 from ordermill.operators.order_statistics import rank_key, with_tile
+from ordermill.plans import audits
 from ordermill.plans.churn import churn_indicators
 from ordermill.plans.cleaning import clean_options, clean_order_items
+from ordermill.plans.dimensions import dim_restaurant
 from ordermill.plans.lifetime_value import clv_snapshot
 from ordermill.plans.locations import location_perf
 from ordermill.plans.loyalty import loyalty_comparison
@@ -61,8 +63,10 @@ def test_tiles_are_comparisons_not_windows(tables):
 def test_the_dense_table_is_not_shuffled(tables):
     text = plan(clv_snapshot(tables.fact, tables.customers, tables.calendar))
     assert "Generate explode" in text
-    # The only exchange is the broadcast of the tier boundaries, a line per day.
-    assert re.findall(r"Exchange \w+|BroadcastExchange", text.split("Subquer")[0]) == ["BroadcastExchange"]
+    # The intervals are dealt out below the explode; above it only the tier boundaries, a line per day, are broadcast.
+    main = text.split("Subquer")[0]
+    assert sorted(re.findall(r"Exchange \w+|BroadcastExchange", main)) == ["BroadcastExchange", "Exchange rangepartitioning"]
+    assert main.index("Generate explode") < main.index("Exchange rangepartitioning")
     assert "Window" not in text
 
 
@@ -85,3 +89,19 @@ def test_scans_are_pruned(spark, tables):
     assert re.search(r"PushedFilters: \[[^\]]*ORDER_ID", text)
     text = plan(raw_order_items(spark, SF).select("ORDER_ID", "ITEM_PRICE"))
     assert "l_shipdate" not in text and "o_totalprice" not in text
+
+
+@pytest.mark.parametrize("build", [lambda t: dim_restaurant(t.items), lambda t: sales_daily(t.items)])
+def test_distinct_counts_do_not_multiply_rows(tables, build):
+    text = plan(build(tables))
+    assert "Expand" not in text
+    assert tables.items.inputFiles()[0].rsplit("/", 1)[0] not in text  # the items are read before, once
+
+
+@pytest.mark.parametrize("build", [
+    lambda t: audits.order_frequency(t.raw_items),
+    lambda t: audits.group_size_histogram(t.raw_items, ["ORDER_ID"], audits.ITEMS_PER_ORDER),
+])
+def test_shares_go_on_from_stored_counts(tables, build):
+    text = plan(build(tables))
+    assert "ORDER_ID" not in text and "USER_ID" not in text
