@@ -575,6 +575,15 @@ SELECT date_key, {usd('spend_c')} AS cumulative_spend, {usd('rev_c')} AS daily_r
     "rep_segment_share_other": q(
         share("segment", "segment", "rfm_other", "customer_count", 1),
         BASE + ", rfm_other AS (SELECT * FROM rfm WHERE NOT is_loyalty)"),
+    "dim_profiles": q("""
+SELECT 'dim_customer' AS table_name, unnest(['rows', 'high tier', 'medium tier', 'low tier', 'loyalty']) AS measure,
+  unnest([count(*), count(*) FILTER (clv_tier = 'High'), count(*) FILTER (clv_tier = 'Medium'),
+          count(*) FILTER (clv_tier = 'Low'), count(*) FILTER (is_loyalty)]) AS row_count FROM cust
+UNION ALL SELECT 'dim_date', unnest(['rows', 'week-ends', 'holidays']),
+  unnest([count(*), count(*) FILTER (dayofweek(date_key) IN (0, 6)), count(*) FILTER (holiday_name IS NOT NULL)])
+  FROM days LEFT JOIN holidays ON date_key = d
+UNION ALL SELECT 'gold_rfm_segments', unnest(['rows', 'in window']), unnest([count(*), count(*) FILTER (frequency > 0)])
+FROM rfm"""),
     "rep_segment_sample": q(f"SELECT {RFM_COLUMNS} FROM rfm ORDER BY md5('42:' || user_id), user_id LIMIT 60"),
     "rep_churn_sample": q(
         "SELECT * FROM churn WHERE spend_change_pct IS NOT NULL ORDER BY md5('42:' || user_id), user_id LIMIT 60"),

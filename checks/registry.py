@@ -27,6 +27,7 @@ from ordermill.plans.lifetime_value_ranked import clv_by_percent_rank
 from ordermill.plans.locations import location_perf
 from ordermill.plans.loyalty import loyalty_comparison, loyalty_lifetime_value
 from ordermill.plans.orders import fact_orders, fact_profile
+from ordermill.plans.profiles import result_profiles
 from ordermill.plans.sales import sales_daily, sales_monthly, sales_weekly
 from ordermill.plans.segments import rfm_lifetime, rfm_segments
 from ordermill.plans.upsell import (
@@ -409,6 +410,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "rep_segment_loyalty": lambda t: reports.segment_by_loyalty(t.rfm),
     "rep_segment_share": lambda t: reports.segment_share(t.rfm),
     "rep_segment_share_other": lambda t: reports.segment_share(t.rfm, "Non-Loyalty only"),
+    "dim_profiles": lambda t: result_profiles(t.customers, t.calendar, t.rfm),
     "rep_segment_sample": lambda t: reports.segment_sample(t.rfm, size=SAMPLE),
     "rep_score_heat": lambda t: reports.score_heat(t.rfm),
     "rep_segment_leaderboard": lambda t: reports.segment_leaderboard(t.rfm),
