@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.labels import rfm_segment, rfm_segment_lifetime
-from ordermill.operators.order_statistics import rank_key, with_tile
+from ordermill.functions.numbers import magnitude_bucket
+from ordermill.operators.order_statistics import BITS_IN_ALL, rank_key, tile_cuts, with_tile
 from ordermill.schemas import money, stamped
 from ordermill.session import materialize
 
@@ -39,14 +40,22 @@ def rfm_base(fact: DataFrame, customers: DataFrame, window_days: int | None = WI
 
 
 def _scored(base: DataFrame, label: Callable[[Column, Column, Column], Column]) -> DataFrame:
-    """Fifths by each measure, 5 is best; equal values are ordered by id."""
+    """Fifths by each measure, 5 is best; equal values are ordered by id.
+
+    The measures are put below each other, so that one search finds the boundaries of all three.
+    """
     scored = materialize(base, "rfm-base")
-    for name, key in (
-        ("r_score", rank_key(F.col("recency_days"), descending=True)),
-        ("f_score", rank_key(F.col("frequency"))),
-        ("m_score", rank_key(F.col("monetary"), 2)),
-    ):
-        scored = with_tile(scored, name, 5, key, "user_id")
+    keys = {
+        "r_score": rank_key(F.col("recency_days"), descending=True),
+        "f_score": rank_key(F.col("frequency")),
+        "m_score": rank_key(F.col("monetary"), 2),
+    }
+    lines = F.array(*[F.struct(F.lit(name).alias("score"), key.alias("key")) for name, key in keys.items()])
+    long = scored.select("user_id", F.explode(lines).alias("line")).select("user_id", "line.*")
+    cuts = tile_cuts(
+        long, 5, F.col("key"), "user_id", ["score"], bucket=magnitude_bucket(F.col("key"), BITS_IN_ALL))
+    for name, key in keys.items():
+        scored = with_tile(scored, name, 5, key, "user_id", cuts=cuts.filter(F.col("score") == name))
     scores = [F.col(c) for c in ("r_score", "f_score", "m_score")]
     return scored.withColumns({"rfm_score": F.concat(*[s.cast("string") for s in scores]), "segment": label(*scores)})
 
