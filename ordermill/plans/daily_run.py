@@ -31,7 +31,7 @@ from ordermill.schemas import CALENDAR_KEYS, ITEM_KEYS, OPTION_KEYS, PARTITION_C
 from ordermill.session import materialize
 from ordermill.sources.holidays import us_holidays
 from ordermill.sources.lake import CLEAN, RAW, SERVING, Lake, TableSpec
-from ordermill.sources.run_log import append_run
+from ordermill.sources.run_log import append_run, volume_status
 
 log = logging.getLogger(__name__)
 
@@ -182,12 +182,20 @@ LAYERS: tuple[tuple[str, Callable[[Run], dict[str, str]], str], ...] = (
 )
 
 
-def _warn_of_losses(run: Run, counts: Mapping[str, int], least_pct: float = 95.0) -> None:
-    """Cleaning that keeps fewer rows than usual is worth a look, but stops nothing."""
-    for table, seen in run.stage_counts.items():
-        rows_in = seen["rows_in"]
-        if rows_in and 100 * counts[table] / rows_in < least_pct:
-            log.warning("cleaning %s kept %s of %s rows", table, counts[table], rows_in)
+def _gates(run: Run, layer: str, counts: Mapping[str, int], log_path: str, least_pct: float = 95.0) -> dict[str, str]:
+    """Soft gates of a layer, by table: rows that cleaning kept, fact rows against the run before.  They stop nothing."""
+    found: dict[str, str] = {}
+    if layer == "clean":
+        for table, seen in run.stage_counts.items():
+            if table in counts and seen["rows_in"]:
+                kept = 100 * counts[table] / seen["rows_in"]
+                found[table] = "OK" if least_pct <= kept <= 100 else "FLAGGED"
+    if layer == "fact" and "fact_orders" in counts:
+        found["fact_orders"] = volume_status(run.lake.spark, log_path, "fact_orders", counts["fact_orders"])
+    for table, status in found.items():
+        if status != "OK":
+            log.warning("%s of layer %s: %s, %s rows", table, layer, status, counts[table])
+    return found
 
 
 def run_daily(run: Run, strict: bool = False) -> dict[str, dict[str, str]]:
@@ -205,15 +213,14 @@ def run_daily(run: Run, strict: bool = False) -> dict[str, dict[str, str]]:
         counts = {
             table: run.lake.read(layer, table).count() for table, status in statuses.items() if status == "SUCCESS"
         }
+        log_path = f"{run.lake.root}/run_log"
         status = append_run(
-            run.lake.spark, f"{run.lake.root}/run_log", name, run.run_date, run.run_ts, statuses, counts)
+            run.lake.spark, log_path, name, run.run_date, run.run_ts, statuses, counts, _gates(run, name, counts, log_path))
         if status != "SUCCESS":
             log.error("layer %s ended with %s, later layers are skipped", name, status)
             if strict:
                 raise RuntimeError(f"layer {name} ended with {status}: {statuses}")
             break
-        if layer == CLEAN:
-            _warn_of_losses(run, counts)
     return done
 
 

@@ -10,7 +10,7 @@ from ordermill.operators.merge import upsert
 from ordermill.plans.daily_run import ITEMS, Run, run_daily
 from ordermill.sources.jdbc import day_predicates, range_options, read_table
 from ordermill.sources.lake import CLEAN, RAW, SERVING, Lake
-from ordermill.sources.run_log import append_run, overall_status, read_log, retention_gate, table_runs, volume_gate
+from ordermill.sources.run_log import append_run, overall_status, read_log, retention_gate, table_runs, volume_gate, volume_status
 from ordermill.schemas import SERVING_TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -116,6 +116,8 @@ def test_log_and_gates(spark, tmp_path):
     path = str(tmp_path / "log")
     for day, rows in (("2026-01-01", 100), ("2026-01-02", 95), ("2026-01-03", 80)):
         append_run(spark, path, "fact", day, "t", {"fact_orders": "SUCCESS"}, {"fact_orders": rows})
+    assert [volume_status(spark, path, "fact_orders", rows) for rows in (72, 71)] == ["OK", "ANOMALY"]
+    assert volume_status(spark, str(tmp_path / "none"), "fact_orders", 1) == "OK"
     runs = table_runs(read_log(spark, path), "fact_orders")
     gated = volume_gate(runs, "run_date", "rows").orderBy("run_date").collect()
     assert [(r.rows, r.status) for r in gated] == [(100, "OK"), (95, "OK"), (80, "ANOMALY")]
