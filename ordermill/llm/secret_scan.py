@@ -359,17 +359,17 @@ def train(texts: list[str], sample: Sample = Sample()) -> Field | None:
 
 
 def secret_sample(docs: DataFrame, sample: Sample = Sample(), id_col: str = "doc_id", text_col: str = "text") -> list[str]:
-    """A bounded sample of texts, chosen by a hash of their ids."""
+    """A bounded sample of texts, chosen by a hash of their ids; only hashes are sorted, texts of the chosen are read again."""
     text = F.col("text")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(
+    rows = docs.select(F.xxhash64(id_col, text_col).alias("order"), F.col(text_col).alias("text")).filter(
         text.isNotNull() & (F.length(text) <= sample.max_chars))
     hint = text.contains("AKIA")
     for word in ASSIGN_HINTS:
         hint = hint | text.contains(word)
-    order = [F.xxhash64("id"), F.xxhash64("text")]
-    chosen = rows.filter(hint).orderBy(*order).limit(sample.hinted).unionByName(
-        rows.orderBy(*order).limit(sample.plain))
-    return [r["text"] for r in chosen.select("text").collect()]
+    chosen = rows.filter(hint).select("order").orderBy("order").limit(sample.hinted).unionByName(
+        rows.select("order").orderBy("order").limit(sample.plain)).distinct()
+    found = rows.join(F.broadcast(chosen), "order").groupBy("order").agg(F.min("text").alias("text")).collect()
+    return [r["text"] for r in sorted(found, key=lambda r: r["order"])]
 
 
 SPANS = T.ArrayType(T.StructType([
