@@ -32,6 +32,7 @@ read by ``similarity_groups`` and pass through ``keep_one_per_group``.
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -273,12 +274,13 @@ def _sized(members: DataFrame, forest: Forest) -> DataFrame:
                 F.ceil(F.col("n") / forest.block_rows), F.ceil(F.col("shingles") / forest.block_shingles)).alias("n_blocks"))
 
 
-def sign_texts(docs: DataFrame, forest: Forest, id_col: str, text_col: str) -> DataFrame:
-    """One stored row per document: id, text hash, class key, shingles, buckets, sketch."""
+def sign_texts(docs: DataFrame, forest: Forest, id_col: str, text_col: str, carried: Mapping[str, Column] | None = None) -> DataFrame:
+    """One stored row per document: id, text hash, class key, shingles, buckets, sketch, and what is carried along."""
+    carried = carried or {}
     sign = _signed(forest, forest.prefix())
     signed = docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("text_hash"),
-                         sign(F.col(text_col)).alias("s"))
-    return materialize(signed.select("id", "text_hash", "s.*"), "signed")
+                         sign(F.col(text_col)).alias("s"), *[column.alias(name) for name, column in carried.items()])
+    return materialize(signed.select("id", "text_hash", "s.*", *carried), "signed")
 
 
 def class_links(signed: DataFrame, docs: DataFrame, forest: Forest, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -318,13 +320,14 @@ def _first_of_each(table: pa.Table) -> pa.Table:
 
 
 def similarity_groups(docs: DataFrame, forest: Forest = Forest(), id_col: str = "doc_id",
-                      text_col: str = "text") -> DataFrame:
-    """One row per document: id, text_hash, group_key, copy_id, class_id and n_links.
+                      text_col: str = "text", carried: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row per document: id, text_hash, group_key, copy_id, class_id and n_links, and the ``carried`` columns by name.
 
     ``group_key`` names the linked group also where ids are null.  ``copy_id``: the smallest id with the same shingles.  ``class_id``: the smallest id of the linked group.
     ``n_links``: how many other documents are similar at the threshold, copies included.
+    ``carried``: columns of ``docs`` that the caller needs beside them, under names that are not used here.
     """
-    signed = sign_texts(docs, forest, id_col, text_col)
+    signed = sign_texts(docs, forest, id_col, text_col, carried)
     classes, linked = class_links(signed, docs, forest, id_col, text_col)
     placed = classes.select("key", "copies", "id").join(linked, "key", "left").withColumn(
         "component", F.coalesce("component", "key"))
@@ -333,8 +336,8 @@ def similarity_groups(docs: DataFrame, forest: Forest = Forest(), id_col: str =
     resolved = materialize(placed.join(named, "component").select(
         "key", F.col("component").alias("group_key"), F.col("id").alias("copy_id"), "class_id",
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "resolved")
-    return signed.select("id", "text_hash", "key").join(resolved, "key").select(
-        F.col("id").alias(id_col), "text_hash", "group_key", "copy_id", "class_id", "n_links")
+    return signed.select("id", "text_hash", "key", *(carried or {})).join(resolved, "key").select(
+        F.col("id").alias(id_col), "text_hash", "group_key", "copy_id", "class_id", "n_links", *(carried or {}))
 
 
 def keep_one_per_group(docs: DataFrame, forest: Forest = Forest(), id_col: str = "doc_id",

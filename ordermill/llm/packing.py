@@ -9,13 +9,17 @@ tightest bin that the piece fits in, and goes on to the next until a bin has
 neither the piece's source nor its cluster; that is the tightest compatible
 bin.  Without one a new bin is opened.
 
-Only ids, lengths and two hashes are shuffled, no text.  A hot source falls
-evenly into all groups, and so do repeated rows, since rows are dealt by their place.
+A cluster is a linked group of the n-gram Jaccard join: exact copies and near
+copies, also those that only a chain of near copies links.  That join reads
+texts; after it, only ids, lengths, sources and clusters are shuffled.  A hot
+source falls evenly into all groups, and so do repeated rows and a large
+cluster, since rows are dealt by their place.
 
 Defined results: null and empty texts have one piece of length 0, which is
 packed like others.  A null source or cluster conflicts with nothing.  Repeated
-rows are packed one by one; without a cluster column, equal texts form a
-cluster.  An empty table gives an empty result.  Other columns are not read.
+rows are packed one by one; a cluster column that is given takes the place of
+the join.  Texts without words form a cluster.  An empty table gives an empty
+result.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.llm import jaccard_forest
 from ordermill.session import materialize
 
 PACKED = "id {id}, piece int, start bigint, n_chars bigint, bin_id bigint, place int, bin_start bigint, bin_chars bigint"
@@ -90,10 +95,14 @@ def pack(docs: DataFrame, capacity: int = 8192, group_rows: int = 4096, id_col:
          source_col: str = "source", cluster_col: str | None = None) -> DataFrame:
     """One row per piece: id, piece, start and n_chars in the text; bin_id, place, bin_start and bin_chars (filled)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    cluster = F.xxhash64(text) if cluster_col is None else F.col(cluster_col)
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.length(text).cast("bigint").alias("n"), F.col(source_col).alias("source"),
-        cluster.alias("cluster"), F.monotonically_increasing_id().alias("row"))
+    # The place is that of the first read, so that a run deals the rows as the run before did.
+    read = {"n": F.length(text).cast("bigint"), "source": F.col(source_col), "row": F.monotonically_increasing_id()}
+    if cluster_col is None:
+        groups = jaccard_forest.similarity_groups(docs, id_col=id_col, text_col=text_col, carried=read)
+        rows = groups.select(F.col(id_col).alias("id"), "n", "source", F.col("group_key").alias("cluster"), "row")
+    else:
+        rows = docs.select(F.col(id_col).alias("id"), *[column.alias(name) for name, column in read.items()],
+                           F.col(cluster_col).alias("cluster"))
     rows = materialize(rows, "lengths")
     size = F.lit(capacity).cast("bigint")
     last = F.greatest(F.ceil(F.col("n") / size) - 1, F.lit(0))
@@ -101,7 +110,7 @@ def pack(docs: DataFrame, capacity: int = 8192, group_rows: int = 4096, id_col:
         "id", "source", "cluster", "row", F.col("piece").cast("int").alias("piece"), (F.col("piece") * size).alias("start"),
         F.least(size, F.col("n") - F.col("piece") * size).alias("n_chars"))
     total = rows.agg(F.sum(last + 1)).first()[0] or 0
-    groups = max(1, math.ceil(total / group_rows))
-    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("row", "piece"), F.lit(groups)))
+    n_groups = max(1, math.ceil(total / group_rows))
+    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("row", "piece"), F.lit(n_groups)))
     return dealt.groupBy("group").applyInArrow(
         lambda table: _pack_group(table, capacity), PACKED.format(id=dict(rows.dtypes)["id"])).withColumnRenamed("id", id_col)

@@ -79,6 +79,19 @@ def test_packing_sample(spark):
     check_packing(docs, packing.pack(docs, capacity=2000), 2000)
 
 
+def test_packing_keeps_near_copies_of_different_sources_apart(spark):
+    rows = near_copies(bases=4, copies=12)
+    _, group = slow_groups(rows)
+    docs = spark.createDataFrame([(i, t, f"s{i}") for i, t in rows], "doc_id bigint, text string, source string")
+    packed = packing.pack(docs, capacity=8192)
+    check_packing(docs, packed, 8192)
+    bins = defaultdict(list)
+    for r in packed.collect():
+        bins[r["bin_id"]].append(group[r["doc_id"]])
+    assert all(len(members) == len(set(members)) for members in bins.values())
+    assert len(bins) == max(group.count(g) for g in group)  # and no more bins than that needs
+
+
 # --- byte-level BPE ---
 
 
