@@ -10,7 +10,8 @@ apart there and only the stretches between are decoded.  This is exact.
 
 The field is trained on a bounded sample (``Sample``) by its likelihood, in
 numpy on the driver; its labels are what the patterns find.  Spans of the
-field that overlap a pattern's span are left to the pattern.
+field that lie within those of the patterns are left to the patterns; one that
+reaches further, be it into the next sign, is kept whole beside them.
 
 Spans are (kind, start, end) in code points, end exclusive.  The kind of the
 field's spans is ``field``.
@@ -218,6 +219,16 @@ def _tag_spans(tags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[t
     return spans
 
 
+def _reaches_beyond(text: str, span: Span, fixed: list[Span]) -> bool:
+    """If more of a span than spaces lies outside the spans of the patterns, which are by start."""
+    _, at, stop = span
+    for _, start, end in fixed:
+        if text[at:min(start, stop)].strip():
+            return True
+        at = max(at, end)
+    return bool(text[at:stop].strip())
+
+
 def scan(texts: list[str | None], model: Field | None) -> list[list[Span]]:
     """All spans of each text, by start and kind."""
     out: list[list[Span]] = []
@@ -231,7 +242,8 @@ def scan(texts: list[str | None], model: Field | None) -> list[list[Span]]:
                 own = slice(stop[i] - found.counts[i], stop[i])
                 begin = int(part.begins[i])
                 added = [("field", a - begin, b - begin) for a, b in _tag_spans(tags[own], found.starts[own], found.ends[own])]
-                added = [x for x in added if not any(x[1] < end and start < x[2] for _, start, end in fixed[i])]
+                whole = part.text[begin:int(part.ends[i])]
+                added = [x for x in added if _reaches_beyond(whole, x, fixed[i])]
                 fixed[i] = sorted(fixed[i] + added, key=_order)
         out += fixed
     return out

@@ -119,6 +119,22 @@ def test_field_adds_spans(field):
     assert secret_scan.redact("abcdef", [("hex", 1, 3), ("hex", 2, 4)], "#") == "a#ef"
 
 
+@pytest.mark.parametrize(("text", "tags", "added", "left"), [
+    ("a token: Bearer 12ab34cd56ef b", "OOOBIO", [(9, 28)], "a # b"),  # the pattern takes 'Bearer' only
+    ("secret=abcdef!9 b", "OOBIIO", [(7, 15)], "# b"),  # and here it stops at a sign
+    ("secret=abcdef! b", "OOBIO", [(7, 14)], "# b"),
+    ("secret=abcdef b", "OOBO", [], "# b"),
+    ("token: secret secret=abcdef b", "OOBIIIO", [], "# # b"),  # two patterns, and a space between them
+    ("x9 secret=abcdef b", "BOOOO", [(0, 2)], "# # b"),
+])
+def test_field_reaches_beyond_patterns(monkeypatch, text, tags, added, left):
+    monkeypatch.setattr(secret_scan, "decode", lambda found, model: np.array(["BIO".index(t) for t in tags], dtype=np.int8))
+    [spans] = secret_scan.scan([text], object())
+    assert [s for s in spans if s[0] != "field"] == slow_patterns(text)
+    assert [(a, b) for kind, a, b in spans if kind == "field"] == added
+    assert secret_scan.redact(text, spans, "#") == left
+
+
 def test_cut_chains_decode_as_whole_ones(field):
     model, text, secret = field
     texts = [text(f"x = {secret()}") for _ in range(30)] + ["a", "", f"{secret()} {secret()}"]
