@@ -1,14 +1,16 @@
-"""N-gram Jaccard join by a MinHash LSH forest, and near-duplicate groups from it.
+"""N-gram Jaccard join by MinHash banding, and near-duplicate groups from it.
 
 Texts become sets of five-word shingles.  Texts with the same set form a copy
 class, and from there on only classes are compared.  A class has a signature
-of ``trees`` x ``depth`` minima.  Each tree is a trie over its part of the
-signatures, kept as sorted prefixes: classes that share a prefix of a tree are
-candidates.  The prefix in use is shortened from the full depth until a pair at
-the threshold is found with the target chance in some tree,
-1 - (1 - s^d)^trees >= recall; pairs above the threshold are found with a greater chance.
-
-Then, for the classes that share a prefix with another:
+of ``trees`` x ``depth`` minima.  This is fixed banding and takes the place of
+an LSH forest: a tree is a band, whose first ``prefix()`` minima are folded into
+one bucket, and classes that share a bucket are candidates.  There are no tries
+and no descent by level.  The length is the same for every table and class: the
+longest with which a pair at the threshold is found with the target chance in
+some band, 1 - (1 - s^d)^trees >= recall; pairs above the threshold are found
+with a greater chance.  The minima beyond it serve the 8-bit signatures only.
+
+Then, for the classes that share a bucket with another:
 
 1. Bucket by bucket, from signatures alone, pairs are set aside that an earlier
    tree has already brought together, or whose 8-bit signatures agree in so few
