@@ -7,7 +7,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import byte_bpe, chat_format, classifiers, exact_topk, jaccard_forest, packing, quality_rules, secret_scan, url_filter
+from ordermill.llm import (
+    byte_bpe, chat_format, classifiers, exact_topk, jaccard_forest, packing, quality_rules, secret_scan, structure_queries, url_filter,
+)
 from ordermill.llm.labelled import held_out
 
 
@@ -216,9 +218,11 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_topk": op9_exact_topk,
     "op10_jaccard_join": op10_jaccard_join,
+    **structure_queries.QUERIES,
     "pipeline": pipeline,
 }
 
 SQL = {
     "op2_quality_rules": OP2_SQL, "op5_chat_format": OP5_SQL, "op6_url_filter": OP6_SQL, "op9_exact_topk": OP9_SQL,
+    **structure_queries.SQL,
 }
