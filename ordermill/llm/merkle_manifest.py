@@ -62,14 +62,16 @@ def _siblings(nodes: Column, at: Column) -> Column:
         F.array_join(F.slice(nodes, at + 2, F.lit(FAN_OUT - 1) - inside), "").alias("right"))
 
 
-def _subtrees(nodes: DataFrame, steps: Column) -> DataFrame:
-    """Aligned subtrees of a stored level: up to 512 nodes in order, and the recomputed levels between.
+def _subtrees(nodes: DataFrame, depths: DataFrame, step: int, carried: Sequence[str] = ()) -> DataFrame:
+    """Aligned subtrees of a stored level: up to 512 nodes in order, with columns ``carried``, and the levels between.
 
-    ``steps`` is the number of levels to go up, less than three at the top of a tree.
+    ``steps`` is the number of levels to go up from there, less than three at the top of a tree.
     """
-    group = F.expr(f"pos div {SUBTREE}").alias("up")
-    listed = nodes.groupBy("tree", group).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "hash"))).alias("rows"), F.min(steps).alias("steps"))
+    named = depths.select(F.col("tree").alias("__tree"), "depth")
+    nodes = nodes.join(named, F.col("tree").eqNullSafe(F.col("__tree")))
+    listed = nodes.groupBy("tree", F.expr(f"pos div {SUBTREE}").alias("up")).agg(
+        F.array_sort(F.collect_list(F.struct("pos", "hash", *carried))).alias("rows"),
+        (F.min("depth") - step * LEVELS_PER_STEP).alias("steps"))
     # A level is used several times in what follows; as columns of their own they are worked out once.
     return listed.withColumn("level_0", F.col("rows.hash")).withColumn(
         "level_1", F.when(F.col("steps") >= 1, _runs(F.col("level_0")))).withColumn(
@@ -88,15 +90,20 @@ class Forest:
         """(tree, hash) of all trees."""
         return self.stored[-1].select("tree", "hash")
 
-    def paths(self, above: DataFrame | None = None) -> DataFrame:
-        """(tree, pos, path) of all leaves: siblings left and right, from the leaf up; ``above`` (tree, path) goes on from the roots."""
+    def paths(self, above: DataFrame | None = None, carried: Sequence[str] = ()) -> DataFrame:
+        """(tree, pos, hash, path, name) and the columns ``carried`` of all leaves; path: siblings left and right, from the leaf up.
+
+        ``above`` (tree, path, name) goes on from the roots; without it paths end there and the name is the root.
+        """
         if above is None:
-            above = self.roots().select("tree", F.array().cast(EMPTY_PATH).alias("path"))
-        paths = above.select("tree", F.lit(0).cast("bigint").alias("pos"), "path")
+            above = self.roots().select("tree", F.array().cast(EMPTY_PATH).alias("path"), F.col("hash").alias("name"))
+        paths = above.select("tree", F.lit(0).cast("bigint").alias("pos"), "path", "name")
+        if len(self.stored) == 1:  # every tree is one leaf
+            return _same_tree(self.stored[0], paths.drop("pos"))
         for step in range(len(self.stored) - 2, -1, -1):
-            groups = _with_depth(self.stored[step], self.depths, step)
-            upper = paths.select(F.col("tree").alias("__tree"), F.col("pos").alias("__pos"), F.col("path").alias("above"))
-            joined = groups.join(upper, F.col("tree").eqNullSafe(F.col("__tree")) & (F.col("up") == F.col("__pos")))
+            extra = carried if step == 0 else ()
+            groups = _subtrees(self.stored[step], self.depths, step, extra)
+            joined = _same_tree(groups.withColumnRenamed("up", "pos"), paths.withColumnRenamed("path", "above"), ["pos"])
 
             def own(at: Column) -> Column:
                 levels = [
@@ -105,19 +112,22 @@ class Forest:
                 return F.concat(*[F.coalesce(x, F.array().cast(EMPTY_PATH)) for x in levels])
 
             entries = F.transform("rows", lambda row, at: F.struct(
-                row["pos"].alias("pos"), F.concat(own(at), F.col("above")).alias("path")))
-            paths = joined.select("tree", F.explode(entries).alias("e")).select("tree", "e.pos", "e.path")
+                *[row[c].alias(c) for c in ("pos", "hash", *extra)], F.concat(own(at), F.col("above")).alias("path")))
+            paths = joined.select("tree", "name", F.explode(entries).alias("e")).select("tree", "name", "e.*")
         return paths
 
 
-def _with_depth(nodes: DataFrame, depths: DataFrame, step: int) -> DataFrame:
-    named = depths.select(F.col("tree").alias("__tree"), "depth")
-    joined = nodes.join(named, F.col("tree").eqNullSafe(F.col("__tree"))).drop("__tree")
-    return _subtrees(joined, F.col("depth") - step * LEVELS_PER_STEP)
+def _same_tree(left: DataFrame, right: DataFrame, on: Sequence[str] = ()) -> DataFrame:
+    """Join on the tree, NULL being one, and columns ``on``."""
+    named = right.select(*[F.col(c).alias(f"__{c}") for c in ("tree", *on)], *[c for c in right.columns if c not in ("tree", *on)])
+    same = F.col("tree").eqNullSafe(F.col("__tree"))
+    for c in on:
+        same &= F.col(c) == F.col(f"__{c}")
+    return left.join(named, same).drop("__tree", *[f"__{c}" for c in on])
 
 
 def build(leaves: DataFrame, label: str) -> Forest:
-    """Trees over ``leaves`` (tree, pos, hash), which are stored."""
+    """Trees over ``leaves`` (tree, pos, hash and more), which are stored."""
     counts = leaves.groupBy("tree").agg(F.count("*").alias("n"))
     # Levels until one node is left: the least d with 8**d >= n, in whole numbers.
     depth = F.size(F.filter(F.sequence(F.lit(0), F.lit(20)), lambda d: F.call_function(
@@ -126,7 +136,7 @@ def build(leaves: DataFrame, label: str) -> Forest:
     deepest = depths.agg(F.max("depth")).first()[0] or 0
     stored = [leaves]
     for step in range(-(-deepest // LEVELS_PER_STEP)):
-        groups = _with_depth(stored[-1], depths, step)
+        groups = _subtrees(stored[-1], depths, step)
         top = F.element_at(F.coalesce("level_3", "level_2", "level_1", "level_0"), 1)
         stored.append(materialize(groups.select("tree", F.col("up").alias("pos"), top.alias("hash")), f"{label}-{step}"))
     return Forest(stored, depths)
@@ -146,21 +156,18 @@ def manifest(docs: DataFrame, tampered: Column, changed_text: Column, id_col: st
     now = [F.when(F.coalesce(tampered, F.lit(False)), changed_text).otherwise(F.col(c)) if c == text_col else F.col(c) for c in fields]
     original, claimed = leaf([F.col(c) for c in fields]), leaf(now)
     rows = docs.select(F.col(id_col).alias("id"), F.col(tree_col).alias("tree"), original.alias("hash"), claimed.alias("claimed"))
+    # Stored first: finding the ranges reads the digests, not the texts, a second time.
+    rows = materialize(rows.withColumn("claimed", F.nullif("claimed", "hash")), "manifest-records")
     rows = materialize(positioned(rows, ["tree"], ["id", "hash"], "pos", "manifest-sorted"), "manifest-leaves")
-    trees = build(rows.select("tree", "pos", "hash"), "manifest")
-    subroots = trees.roots()
-    ordered = positioned(subroots.select("tree", "hash", F.lit(0).alias("all")), ["all"], ["tree"], "pos", "manifest-subroots")
+    trees = build(rows, "manifest")
+    ordered = positioned(trees.roots().withColumn("all", F.lit(0)), ["all"], ["tree"], "pos", "manifest-subroots")
     ordered = materialize(ordered.select(F.col("tree").alias("part"), "pos", "hash"), "manifest-top")
-    top = build(ordered.select(F.lit(0).alias("tree"), "pos", "hash"), "manifest-top")
-    above = ordered.join(top.paths().select("pos", "path"), "pos").select(
-        F.col("part").alias("tree"), F.col("hash").alias("subroot"), "path")
-    paths = trees.paths(above.select("tree", "path")).select(F.col("tree").alias("__tree"), F.col("pos").alias("__pos"), "path")
-    named = above.select(F.col("tree").alias("__part"), "subroot")
-    proved = rows.join(paths, F.col("tree").eqNullSafe(F.col("__tree")) & (F.col("pos") == F.col("__pos"))).join(
-        named, F.col("tree").eqNullSafe(F.col("__part")))
+    top = build(ordered.select(F.lit(0).alias("tree"), "part", "pos", "hash"), "manifest-top")
+    above = top.paths(carried=["part"]).select(F.col("part").alias("tree"), "path", F.col("hash").alias("name"))
+    proved = trees.paths(above, carried=["id", "claimed"])
     root = top.roots().select("hash").scalar()
     proof = F.array_join(F.transform("path", lambda s: F.concat(s["left"], s["right"])), "")
     result = proved.select(
-        F.col("id").alias(id_col), F.col("hash").alias("leaf"), "subroot", root.alias("root"),
-        digest(proof).alias("proof_sha256"), folded(F.col("claimed"), F.col("path")).alias("folded_root"))
+        F.col("id").alias(id_col), F.col("hash").alias("leaf"), F.col("name").alias("subroot"), root.alias("root"),
+        digest(proof).alias("proof_sha256"), folded(F.coalesce("claimed", "hash"), F.col("path")).alias("folded_root"))
     return result.withColumn("verified", F.col("folded_root") == F.col("root"))
