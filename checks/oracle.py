@@ -358,7 +358,9 @@ def stored_counts() -> str:
         "dimensions": {"dim_date": "days", "dim_customer": "cust", "dim_restaurant": "(SELECT DISTINCT rest FROM items)",
                        "dim_menu_item": "(SELECT DISTINCT item, category FROM items WHERE item IS NOT NULL)"},
         "fact": {"fact_orders": "fact"},
-        "metrics": {"gold_clv_snapshot": "grid", "gold_rfm_segments": "rfm_measures", "gold_churn_indicators": "churn_sums",
+        "metrics": {"gold_clv_snapshot": "grid",
+                    "gold_clv_daily_stats": "(SELECT DISTINCT date_key, clv_tier FROM clv WHERE clv_tier <> 'Pre-Activity')",
+                    "gold_rfm_segments": "rfm_measures", "gold_churn_indicators": "churn_sums",
                     "gold_sales_daily": "daily", "gold_sales_weekly": "weekly", "gold_sales_monthly": "monthly",
                     "gold_loyalty_comparison": "(SELECT DISTINCT segment FROM labelled)", "gold_location_perf": "places",
                     "gold_upsell_summary": "upsell_counts", "gold_upsell_top_options": "top_options"},
@@ -547,6 +549,9 @@ SELECT {usd('sum(total_c)')} AS total_revenue, {big('sum(order_count)')} AS tota
 SELECT count(*) AS total_customers, count(*) FILTER (loyal) AS loyalty_customers,
   {pct1('count(*) FILTER (loyal)', 'count(*)')} AS loyalty_pct
 FROM (SELECT user_id, bool_or(loyal) AS loyal FROM known GROUP BY 1)"""),
+    "clv_daily_stats": q(f"""
+SELECT date_key, clv_tier, count(*) AS customer_count, {QUARTILES} FROM clv
+WHERE clv_tier <> 'Pre-Activity' GROUP BY 1, 2"""),
     "rep_clv_by_day": q(f"""
 SELECT date_key, clv_tier, count(*) AS customer_count, {QUARTILES} FROM clv
 WHERE clv_tier IN ('High', 'Medium', 'Low') GROUP BY 1, 2"""),

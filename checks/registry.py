@@ -22,7 +22,7 @@ from ordermill.plans.cleaning import (
 )
 from ordermill.plans.daily_run import CALENDAR, ITEMS, OPTIONS, SOURCES, Run, ingest_raw, reload_range, run_daily
 from ordermill.plans.dimensions import dim_customer, dim_date, dim_menu_item, dim_restaurant
-from ordermill.plans.lifetime_value import clv_snapshot
+from ordermill.plans.lifetime_value import SpendIntervals, clv_daily_stats, clv_snapshot, stored_intervals
 from ordermill.plans.lifetime_value_ranked import clv_by_percent_rank
 from ordermill.plans.locations import location_perf
 from ordermill.plans.loyalty import loyalty_comparison, loyalty_lifetime_value
@@ -47,7 +47,7 @@ RULES = ItemRules(
 SAMPLE = 60
 RUN_DATE, RUN_TS = "2026-01-01", "2026-01-01T02:00:00Z"
 
-_stored: dict[tuple[str, str, str], DataFrame] = {}
+_stored: dict[tuple[str, str, str], DataFrame | SpendIntervals] = {}
 _lock = threading.RLock()
 
 
@@ -59,13 +59,16 @@ class Tables:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.folder = spark, folder
 
-    def _keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def _once(self, name: str, build: Callable):
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         with _lock:
             if key not in _stored:
-                _stored[key] = materialize(build(), name)
+                _stored[key] = build()
             return _stored[key]
 
+    def _keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return self._once(name, lambda: materialize(build(), name))
+
     @property
     def raw_items(self) -> DataFrame:
         return self._keep("raw-items", lambda: sample_data.raw_order_items(self.spark, self.folder))
@@ -98,13 +101,19 @@ class Tables:
     def fact(self) -> DataFrame:
         return self._keep("fact", lambda: fact_orders(self.items, self.options))
 
+    @property
+    def spend_intervals(self) -> SpendIntervals:
+        return self._once("spend-intervals", lambda: stored_intervals(self.fact, self.customers, self.calendar))
+
     @property
     def clv(self) -> DataFrame:
-        return self._keep("clv", lambda: clv_snapshot(self.fact, self.customers, self.calendar))
+        return self._keep("clv", lambda: clv_snapshot(
+            self.fact, self.customers, self.calendar, intervals=self.spend_intervals))
 
     @property
-    def clv_by_day(self) -> DataFrame:
-        return self._keep("clv-by-day", lambda: reports.clv_by_day(self.clv))
+    def clv_stats(self) -> DataFrame:
+        return self._keep("clv-stats", lambda: clv_daily_stats(
+            self.fact, self.customers, self.calendar, intervals=self.spend_intervals))
 
     @property
     def rfm(self) -> DataFrame:
@@ -382,6 +391,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # metrics
     "clv_days": lambda t: days_digest(t.clv),
     "clv_customers": clv_customers,
+    "clv_daily_stats": lambda t: t.clv_stats,
     "clv_days_of_purchases": lambda t: days_digest(
         clv_snapshot(t.purchase_fact, t.purchase_customers, dim_date(t.purchases, us_holidays(t.spark)))),
     "rfm_segments": lambda t: t.rfm,
@@ -399,8 +409,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # reports
     "rep_kpis": lambda t: reports.business_kpis(t.loyalty, upsell_summary(t.options, t.fact)),
     "rep_kpis_distinct": lambda t: reports.distinct_customer_kpis(t.fact),
-    "rep_clv_by_day": lambda t: t.clv_by_day,
-    "rep_clv_latest_tiers": lambda t: reports.latest_tier_counts(t.clv_by_day),
+    "rep_clv_by_day": lambda t: reports.clv_by_day(t.clv_stats),
+    "rep_clv_latest_tiers": lambda t: reports.latest_tier_counts(t.clv_stats),
     "rep_clv_kpis": lambda t: reports.clv_kpis(t.clv),
     "rep_top_customers": lambda t: reports.top_customers(t.customers),
     "rep_customer_profile": lambda t: reports.customer_profile(t.customers, top_customer(t)),

@@ -13,6 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
+from threading import Lock
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from ordermill.plans.churn import churn_indicators
 from ordermill.plans.cleaning import ItemRules, clean_calendar, clean_options, clean_order_items
 from ordermill.plans.dimensions import dim_customer, dim_date, dim_menu_item, dim_restaurant
-from ordermill.plans.lifetime_value import clv_snapshot
+from ordermill.plans.lifetime_value import clv_daily_stats, clv_snapshot, stored_intervals
 from ordermill.plans.locations import location_perf
 from ordermill.plans.loyalty import loyalty_comparison
 from ordermill.plans.orders import fact_orders
@@ -63,6 +64,19 @@ class Run:
     stage_counts: dict[str, Mapping[str, int]] = field(default_factory=dict)
 
 
+class Once:
+    """What several steps of a layer need, made by the first that asks; one that fails is made again for the next."""
+
+    def __init__(self, make: Callable) -> None:
+        self.make, self.lock, self.made = make, Lock(), None
+
+    def __call__(self):
+        with self.lock:
+            if self.made is None:
+                self.made = self.make()
+            return self.made
+
+
 def _attempt(steps: Mapping[str, Step], side_by_side: int) -> dict[str, str]:
     """Run the steps of a layer; one that fails does not stop the others."""
 
@@ -159,8 +173,10 @@ def metric_layer(run: Run) -> dict[str, str]:
     def options() -> DataFrame:
         return lake.read(CLEAN, OPTIONS)
 
+    spending = Once(lambda: stored_intervals(fact(), customers(), lake.load("dim_date")))
     return _serve(run, {
-        "gold_clv_snapshot": lambda: clv_snapshot(fact(), customers(), lake.load("dim_date"), ts),
+        "gold_clv_snapshot": lambda: clv_snapshot(fact(), customers(), lake.load("dim_date"), ts, spending()),
+        "gold_clv_daily_stats": lambda: clv_daily_stats(fact(), customers(), lake.load("dim_date"), ts, spending()),
         "gold_rfm_segments": lambda: rfm_segments(fact(), customers(), run_ts=ts),
         "gold_churn_indicators": lambda: churn_indicators(fact(), ts),
         "gold_sales_daily": lambda: sales_daily(lake.read(CLEAN, ITEMS), ts),

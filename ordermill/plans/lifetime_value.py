@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.labels import spend_tier
 from ordermill.functions.numbers import magnitude_bucket
-from ordermill.operators.order_statistics import bucket_bits, rank_key, tile_cuts, with_tile
+from ordermill.operators.interval_statistics import Intervals, interval_tile_cuts, interval_values_at
+from ordermill.operators.order_statistics import between, bucket_bits, rank_key, ranks_around, tile_start, with_tile
 from ordermill.operators.timeline import expand_days, first_day_only, running_intervals
 from ordermill.schemas import money, stamped
 from ordermill.session import materialize
@@ -17,24 +20,42 @@ NO_SPEND = "Pre-Activity"
 ROWS_PER_TASK = 16_000_000
 
 
-def stored_intervals(fact: DataFrame, customers: DataFrame, calendar: DataFrame) -> DataFrame:
-    """``spend_intervals`` written once, split into ranges of customers, with sort key and bucket of the spend.
+@dataclass(frozen=True)
+class SpendIntervals:
+    """Stored ``spend_intervals`` with sort key and bucket of the spend, and the number of tasks to expand them in.
 
-    A few intervals expand to many days, so the number of tasks follows from
-    the rows of the expanded table: the days from each customer's first order
-    to the end of the calendar, summed over the customer dimension.
+    A few intervals expand to many days, so tasks and precision of the buckets follow from the rows of the expanded
+    table: the days from each customer's first order to the end of the calendar, summed over the customer dimension.
     """
+
+    rows: DataFrame
+    bits: int
+    tasks: int
+
+    @property
+    def by_spend(self) -> Intervals:
+        return Intervals(self.rows, "day", "until", "spend_key", "spend_bucket", "user_id")
+
+    def expanded(self) -> DataFrame:
+        """One row per customer and day (``date_key``), the only time that all days are written out.
+
+        Dealt out by ranges of customers after the read: small files are packed together when they are read, and a
+        task would expand all that is in its pack.
+        """
+        dealt = self.rows.drop("spend_bucket").repartitionByRange(self.tasks, "user_id", "day").sortWithinPartitions("user_id", "day")
+        return expand_days(dealt, "day", "date_key")
+
+
+def stored_intervals(fact: DataFrame, customers: DataFrame, calendar: DataFrame) -> SpendIntervals:
     spark = fact.sparkSession
     age = F.datediff(calendar.agg(F.max("date_key")).scalar(), F.col("first_order_date")) + 1
     rows, days = customers.agg(F.coalesce(F.sum(age), F.lit(0)), F.coalesce(F.max(age), F.lit(0))).first()
-    tasks = max(rows // ROWS_PER_TASK, spark.sparkContext.defaultParallelism)
+    bits = bucket_bits(rows, days)
     spend_key = rank_key(F.col("cumulative_spend"), 2)
     intervals = spend_intervals(fact, customers, calendar).withColumns({
-        "spend_key": spend_key, "spend_bucket": magnitude_bucket(spend_key, bucket_bits(rows, days))})
-    # Dealt out once more after the read: small files are packed together when they are read,
-    # and a task would expand all that is in its pack.
-    return materialize(intervals, "spend-intervals").repartitionByRange(tasks, "user_id", "day").sortWithinPartitions(
-        "user_id", "day")
+        "spend_key": spend_key, "spend_bucket": magnitude_bucket(spend_key, bits)})
+    return SpendIntervals(
+        materialize(intervals, "spend-intervals"), bits, max(rows // ROWS_PER_TASK, spark.sparkContext.defaultParallelism))
 
 
 def spend_intervals(fact: DataFrame, customers: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -63,20 +84,20 @@ def spend_intervals(fact: DataFrame, customers: DataFrame, calendar: DataFrame)
     return intervals.withColumn("cumulative_spend", money(F.col("cumulative_spend")))
 
 
-def clv_snapshot(fact: DataFrame, customers: DataFrame, calendar: DataFrame, run_ts: str | None = None) -> DataFrame:
+def clv_snapshot(
+    fact: DataFrame, customers: DataFrame, calendar: DataFrame, run_ts: str | None = None,
+    intervals: SpendIntervals | None = None,
+) -> DataFrame:
     """One row per customer and day from the first order on, with running totals and the day's tier.
 
     Tiers are fifths of all customers of the day by running spend, equal spend
     ordered by id; customers who have spent nothing yet keep their place in the
-    order but are labelled apart.  The dense rows are never shuffled: they are
-    expanded from the stored intervals, once to find the tier boundaries of
-    each day and once for the result.
+    order but are labelled apart.  Boundaries come from the stored intervals;
+    the dense rows are written out once, for the result, and never shuffled.
     """
-    intervals = stored_intervals(fact, customers, calendar)
-    narrow = expand_days(intervals.select("user_id", "day", "until", "spend_key", "spend_bucket"), "day", "date_key")
-    cuts = tile_cuts(narrow, TIERS, F.col("spend_key"), "user_id", ["date_key"], bucket=F.col("spend_bucket"))
-    dense = expand_days(intervals.drop("spend_bucket"), "day", "date_key")
-    tiered = with_tile(dense, "tile", TIERS, F.col("spend_key"), "user_id", ["date_key"], cuts)
+    intervals = intervals or stored_intervals(fact, customers, calendar)
+    cuts = interval_tile_cuts(intervals.by_spend, TIERS, "date_key")
+    tiered = with_tile(intervals.expanded(), "tile", TIERS, F.col("spend_key"), "user_id", ["date_key"], cuts)
     result = tiered.withColumns({
         **first_day_only(["daily_revenue", "daily_order_count"], "day", "date_key"),
         "clv_tier": F.when(F.col("cumulative_spend") > 0, spend_tier(F.col("tile"), TIERS)).otherwise(NO_SPEND),
@@ -89,3 +110,38 @@ def clv_snapshot(fact: DataFrame, customers: DataFrame, calendar: DataFrame, run
         "snapshot_year",
     )
     return stamped(result, "gold_ingestion_ts", run_ts)
+
+
+QUARTILES = {"p25_spend": 0.25, "median_spend": 0.5, "p75_spend": 0.75}
+
+
+def clv_daily_stats(
+    fact: DataFrame, customers: DataFrame, calendar: DataFrame, run_ts: str | None = None,
+    intervals: SpendIntervals | None = None,
+) -> DataFrame:
+    """Customers and exact quartiles of running spend per day and tier, without the customer-days.
+
+    In a day's order by spend each tier is a range of ranks, those who have spent nothing being first, so all
+    quartiles are values at ranks of the day.  Days and tiers without customers have no row.
+    """
+    intervals = intervals or stored_intervals(fact, customers, calendar)
+    second, last, n, unspent = tile_start(2, TIERS), tile_start(TIERS, TIERS), F.col("_n"), F.col("_unspent")
+    no_spend = magnitude_bucket(F.lit(0).cast("bigint"), intervals.bits)
+    tiers = {
+        spend_tier_name: (F.greatest(begin, unspent), end)
+        for spend_tier_name, begin, end in (("Low", F.lit(0), second), ("Medium", second, last), ("High", last, n))}
+    ranks = {}
+    for tier, (begin, end) in tiers.items():
+        for name, p in QUARTILES.items():
+            low, high = ranks_around(end - begin, p)
+            ranks[f"{tier}_{name}_low"] = F.when(end > begin, begin + low)
+            ranks[f"{tier}_{name}_high"] = F.when(end > begin, begin + high)
+    values = interval_values_at(intervals.by_spend, "date_key", ranks, {"_unspent": F.col("_bucket") <= no_spend})
+    lines = F.array(*[
+        F.struct(
+            F.lit(tier).alias("clv_tier"), (end - begin).cast("bigint").alias("customer_count"),
+            *[between(F.col(f"{tier}_{name}_low"), F.col(f"{tier}_{name}_high"), end - begin, p, 2).alias(name)
+              for name, p in QUARTILES.items()])
+        for tier, (begin, end) in tiers.items()])
+    result = values.select("date_key", F.inline(lines)).filter("customer_count > 0")
+    return stamped(result, "gold_ingestion_ts", run_ts)

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.numbers import integer_key
-from ordermill.operators.order_statistics import group_values_at
-from ordermill.operators.timeline import expand_days
+from ordermill.operators.interval_statistics import interval_values_at
 from ordermill.plans.lifetime_value import stored_intervals
 from ordermill.session import materialize
 
@@ -23,12 +22,10 @@ def clv_by_percent_rank(fact: DataFrame, customers: DataFrame, calendar: DataFra
     decide all tiers.
     """
     intervals = stored_intervals(fact, customers, calendar)
-    narrow = expand_days(intervals.select("user_id", "day", "until", "cumulative_spend"), "day", "snapshot_date")
     # Whole-number ceilings of 0.8 and 0.2 of the other customers.
     ranks = {"high_above": F.expr("(4 * (_n - 1) + 4) div 5 - 1"), "low_up_to": F.expr("((_n - 1) + 4) div 5 - 1")}
-    limits = materialize(
-        group_values_at(narrow, ["snapshot_date"], integer_key(F.col("cumulative_spend"), 2), ranks), "spend-limits")
-    dense = expand_days(intervals, "day", "snapshot_date").join(limits, "snapshot_date", "left")
+    limits = materialize(interval_values_at(intervals.by_spend, "date_key", ranks), "spend-limits")
+    dense = intervals.expanded().join(limits, "date_key", "left").withColumnRenamed("date_key", "snapshot_date")
     spend = integer_key(F.col("cumulative_spend"), 2)
     tier = (
         F.when(spend > F.col("high_above"), "High")

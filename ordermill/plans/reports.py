@@ -9,6 +9,7 @@ from ordermill.functions.labels import CHURN_ORDER, SEGMENT_ORDER, SPEND_TIERS,
 from ordermill.functions.numbers import integer_key, money_percent, percent, ratio
 from ordermill.operators.distribution import count_and_share, hash_sample
 from ordermill.operators.order_statistics import group_quantiles
+from ordermill.plans.lifetime_value import QUARTILES
 from ordermill.schemas import money
 
 # Sizes and limits of the lists shown.
@@ -45,16 +46,21 @@ def distinct_customer_kpis(fact: DataFrame) -> DataFrame:
 
 # Lifetime value -----------------------------------------------------------
 
-def clv_by_day(clv: DataFrame, approximate: bool = False) -> DataFrame:
-    """Customers and quartiles of running spend per day and tier, exact or sketched."""
+def clv_by_day(stats: DataFrame) -> DataFrame:
+    """Customers and quartiles of running spend per day and tier, from the stored daily statistics."""
+    return stats.select("date_key", "clv_tier", "customer_count", *QUARTILES).orderBy("date_key", "clv_tier")
+
+
+def clv_by_day_of_rows(clv: DataFrame, approximate: bool = False) -> DataFrame:
+    """The same from customer-days, exact or sketched, for any choice of customers."""
     tiered = clv.filter(F.col("clv_tier").isin(*SPEND_TIERS))
     keys = ["date_key", "clv_tier"]
-    spend, quartiles = F.col("cumulative_spend"), {"p25_spend": 0.25, "median_spend": 0.5, "p75_spend": 0.75}
+    spend = F.col("cumulative_spend")
     if approximate:
         count = F.count("*").alias("customer_count")
-        sketched = [F.percentile_approx(spend, p).alias(name) for name, p in quartiles.items()]
+        sketched = [F.percentile_approx(spend, p).alias(name) for name, p in QUARTILES.items()]
         return tiered.groupBy(*keys).agg(count, *sketched).orderBy(*keys)
-    return group_quantiles(tiered, keys, spend, quartiles, scale=2, count_name="customer_count").orderBy(*keys)
+    return group_quantiles(tiered, keys, spend, QUARTILES, scale=2, count_name="customer_count").orderBy(*keys)
 
 
 def latest_tier_counts(by_day: DataFrame) -> DataFrame:

@@ -52,6 +52,7 @@ SERVING_TABLES = (
     "dim_menu_item",
     "fact_orders",
     "gold_clv_snapshot",
+    "gold_clv_daily_stats",
     "gold_rfm_segments",
     "gold_churn_indicators",
     "gold_sales_daily",

@@ -79,10 +79,10 @@ def test_lifetime_value_reports(spark):
           ('c', DATE'2023-01-02', CAST(0 AS DECIMAL(18,2)), CAST(0 AS DECIMAL(18,2)), 'Pre-Activity')
         AS t(user_id, date_key, daily_revenue, cumulative_spend, clv_tier)""").withColumn(
         "snapshot_year", F.year("date_key"))
-    by_day = reports.clv_by_day(clv)
+    by_day = reports.clv_by_day_of_rows(clv)
     assert [(r.date_key.day, r.clv_tier, r.customer_count, r.median_spend) for r in by_day.collect()] == [
         (1, "Low", 1, 4.0), (2, "High", 1, 9.0), (2, "Low", 1, 4.0)]
-    assert reports.clv_by_day(clv, approximate=True).count() == 3
+    assert reports.clv_by_day_of_rows(clv, approximate=True).count() == 3
     assert {r.clv_tier: r.date_key.day for r in reports.latest_tier_counts(by_day).collect()} == {"Low": 2, "High": 2}
     kpis = reports.clv_kpis(clv).first()
     assert (kpis.customers_scored, kpis.max_clv, kpis.median_clv_latest) == (3, D("9.00"), 4.0)
