@@ -487,6 +487,7 @@ FROM cal_numbered WHERE number % 50 <> 0""", RAW),
     "item_stage_counts": q(stage_lines("item_counts", ITEM_STAGES), STAGES),
     "option_stage_counts": q(stage_lines("option_counts", OPTION_STAGES), STAGES),
     "upsert_items": q(DIGEST.format("merged"), UPSERTED),
+    "ingest_stream": q(DIGEST.format("merged"), UPSERTED),
     "rollback_items": q(DIGEST.format("items_keyed"), RAW_KEYED),
     "reload_months": q(
         f"SELECT strftime(order_date, '%Y-%m') AS order_year_month, count(*) AS orders, {usd('sum(total_c)')} AS revenue "

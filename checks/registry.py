@@ -20,7 +20,7 @@ from ordermill.plans.churn import churn_indicators, churn_recent_spend
 from ordermill.plans.cleaning import (
     ItemRules, clean_calendar, clean_options, clean_order_items, item_stage_counts, option_stage_counts,
 )
-from ordermill.plans.daily_run import CALENDAR, ITEMS, OPTIONS, SOURCES, Run, ingest_raw, reload_range, run_daily
+from ordermill.plans.daily_run import CALENDAR, ITEMS, OPTIONS, LOAD_DATE, SOURCES, Run, ingest_raw, reload_range, run_daily, upsert_clean_items
 from ordermill.plans.dimensions import dim_customer, dim_date, dim_menu_item, dim_restaurant
 from ordermill.plans.lifetime_value import SpendIntervals, clv_daily_stats, clv_snapshot, stored_intervals
 from ordermill.plans.lifetime_value_ranked import clv_by_percent_rank
@@ -40,6 +40,7 @@ from ordermill.sources.calendar_csv import read_calendar
 from ordermill.sources.holidays import us_holidays
 from ordermill.sources.lake import CLEAN, RAW, SERVING, Lake
 from ordermill.sources.run_log import read_log, retention_gate, volume_gate
+from ordermill.streaming.ingest import extract_stream, ingest_stream
 
 RULES = ItemRules(
     excluded_apps=(sample_data.TEST_APP,), excluded_restaurants=(sample_data.TEST_RESTAURANT,))
@@ -197,9 +198,21 @@ def _digest(items: DataFrame) -> DataFrame:
 
 
 def upsert_items(t: Tables) -> DataFrame:
+    """Two extracts merged in a table laid out by order month."""
     lake = t.new_lake("upsert")
-    lake.upsert(t.raw_items, RAW, ITEMS, ITEM_KEYS)
-    lake.upsert(_repriced(t.raw_items), RAW, ITEMS, ITEM_KEYS)
+    for extract in (t.raw_items, _repriced(t.raw_items)):
+        by_month = extract.withColumn("order_month", F.substring("CREATION_TIME_UTC", 1, 7))
+        lake.upsert(by_month, RAW, ITEMS, ITEM_KEYS, ["order_month"])
+    return _digest(lake.read(RAW, ITEMS))
+
+
+def stream_items(t: Tables) -> DataFrame:
+    """The same two extracts as files of two load dates, taken in by a stream."""
+    lake, folder = t.new_lake("stream"), scratch_folder(t.spark, "extracts")
+    for load_date, extract in (("2025-12-31", t.raw_items), (RUN_DATE, _repriced(t.raw_items))):
+        extract.write.parquet(f"{folder}/{LOAD_DATE}={load_date}")
+        spec = next(s for s in SOURCES if s.name == ITEMS)
+        ingest_stream(lake, extract_stream(t.spark, folder, extract.schema, LOAD_DATE), spec, LOAD_DATE)
     return _digest(lake.read(RAW, ITEMS))
 
 
@@ -256,7 +269,7 @@ def reload_months(t: Tables) -> DataFrame:
     start, end = date(2022, 3, 10), date(2022, 5, 20)
     run = Run(lake, t.source, RUN_DATE, RUN_TS, RULES)
     ingest_raw(run)
-    lake.upsert(t.items.withColumn("ingestion_date", F.lit(RUN_DATE)), CLEAN, ITEMS, ITEM_KEYS, ["ingestion_date"])
+    upsert_clean_items(lake, t.items.withColumn("ingestion_date", F.lit(RUN_DATE)))
     lake.upsert(t.options.withColumn("ingestion_date", F.lit(RUN_DATE)), CLEAN, OPTIONS, OPTION_KEYS, ["ingestion_date"])
     lake.overwrite(t.fact, SERVING, "fact_orders", ["order_year_month"])
 
@@ -275,7 +288,7 @@ def reload_moved_orders(t: Tables) -> DataFrame:
     start, end = date(2022, 3, 10), date(2022, 5, 20)
     run = Run(lake, t.source, RUN_DATE, RUN_TS, RULES)
     ingest_raw(run)
-    lake.upsert(t.items.withColumn("ingestion_date", F.lit(RUN_DATE)), CLEAN, ITEMS, ITEM_KEYS, ["ingestion_date"])
+    upsert_clean_items(lake, t.items.withColumn("ingestion_date", F.lit(RUN_DATE)))
     lake.upsert(t.options.withColumn("ingestion_date", F.lit(RUN_DATE)), CLEAN, OPTIONS, OPTION_KEYS, ["ingestion_date"])
     lake.overwrite(t.fact, SERVING, "fact_orders", ["order_year_month"])
 
@@ -378,6 +391,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "item_stage_counts": lambda t: item_stage_counts(t.raw_items, RULES),
     "option_stage_counts": lambda t: option_stage_counts(t.raw_options),
     "upsert_items": upsert_items,
+    "ingest_stream": stream_items,
     "rollback_items": rollback_items,
     "reload_moved_orders": reload_moved_orders,
     "reload_months": reload_months,

@@ -24,10 +24,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
 def replace_by_key(target: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``upsert`` for rows with unique keys, which are read twice: once for the keys, once for the rows.
 
-    Target rows with a NULL in the key bypass the join, which would send all of
-    them to one task.
+    The target is read once.  Its rows with a NULL in the key match nothing; a
+    hash of the whole row beside the key spreads them over the tasks of the join.
     """
     fresh = fresh.select(*[F.col(f.name).cast(f.dataType) for f in target.schema])
     complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    untouched = target.filter(complete).join(fresh.select(*keys), list(keys), "left_anti").select(*target.columns)
-    return untouched.unionByName(target.filter(~complete)).unionByName(fresh)
+    spread = F.when(complete, F.lit(0).cast("bigint")).otherwise(F.xxhash64(*target.columns))
+    replaced = fresh.select(*keys, F.lit(0).cast("bigint").alias("__spread"))
+    untouched = target.withColumn("__spread", spread).join(replaced, [*keys, "__spread"], "left_anti")
+    return untouched.select(*target.columns).unionByName(fresh)

@@ -37,7 +37,7 @@ from ordermill.sources.run_log import append_run, volume_status
 log = logging.getLogger(__name__)
 
 ITEMS, OPTIONS, CALENDAR = "order_items", "order_item_options", "date_dim"
-LOAD_DATE = "ingestion_date"
+LOAD_DATE, CLEANED = "ingestion_date", "cleaned"
 MONTH = PARTITION_COLUMNS["fact_orders"]
 
 SOURCES = (
@@ -61,6 +61,8 @@ class Run:
     rules: ItemRules = ItemRules()
     sources: Sequence[TableSpec] = SOURCES
     side_by_side: int = 4
+    #: Clean all of the raw layer again, after a change of rules.
+    clean_all: bool = False
     stage_counts: dict[str, Mapping[str, int]] = field(default_factory=dict)
 
 
@@ -108,27 +110,51 @@ def ingest_raw(run: Run) -> dict[str, str]:
     return _attempt({spec.name: step(spec) for spec in run.sources}, run.side_by_side)
 
 
+def upsert_clean_items(lake: Lake, items: DataFrame, marks: Mapping[str, str] | None = None) -> int:
+    """Merge cleaned line items into the clean layer, which is laid out by order month: other months stay as they are."""
+    by_month = items.withColumn(MONTH, F.date_format("order_date", "yyyy-MM"))
+    return lake.upsert(by_month, CLEAN, ITEMS, ITEM_KEYS, [MONTH], marks)
+
+
 def clean_layer(run: Run) -> dict[str, str]:
-    """Clean the raw tables; row counts per filter come from the writing job itself."""
+    """Clean the load dates that no run has cleaned yet; row counts per filter come from the writing job itself.
+
+    How far cleaning has come is a mark in the clean snapshot, published with it.  The run's own date is read even if
+    an earlier attempt has cleaned it.  Where cleaning makes several raw keys one, the later load wins.
+    A clean row stays if a later load has it in a form that cleaning drops, as an upsert only adds and replaces.
+    """
     lake = run.lake
 
-    def observed(table: str, clean: Callable[[DataFrame, Observation], DataFrame], write: Callable[[DataFrame], int]) -> Step:
+    def unseen(table: str) -> DataFrame:
+        raw, done = lake.read(RAW, table), lake.marks(CLEAN, table).get(CLEANED)
+        if run.clean_all or done is None:
+            return raw
+        return raw.filter((F.col(LOAD_DATE) > F.lit(done)) | (F.col(LOAD_DATE) == F.lit(run.run_date)))
+
+    def observed(
+        table: str, raw: Callable[[], DataFrame], clean: Callable[[DataFrame, Observation], DataFrame],
+        write: Callable[[DataFrame, dict[str, str]], int],
+    ) -> Step:
         def step() -> None:
+            rows = raw()
+            if lake.exists(CLEAN, table) and rows.isEmpty():  # nothing new: partitions without files
+                return
             observation = Observation(table)
-            write(clean(lake.read(RAW, table), observation))
+            done = max(lake.marks(CLEAN, table).get(CLEANED, ""), run.run_date)
+            write(clean(rows, observation), {CLEANED: done})
             run.stage_counts[table] = observation.get
         return step
 
     steps = {
         ITEMS: observed(
-            ITEMS, lambda raw, o: clean_order_items(raw, run.rules, run.run_ts, o),
-            lambda df: lake.upsert(df, CLEAN, ITEMS, ITEM_KEYS, [LOAD_DATE])),
+            ITEMS, lambda: unseen(ITEMS), lambda raw, o: clean_order_items(raw, run.rules, run.run_ts, o),
+            lambda df, marks: upsert_clean_items(lake, df, marks)),
         OPTIONS: observed(
-            OPTIONS, lambda raw, o: clean_options(raw, run.run_ts, o),
-            lambda df: lake.upsert(df, CLEAN, OPTIONS, OPTION_KEYS, [LOAD_DATE])),
+            OPTIONS, lambda: unseen(OPTIONS), lambda raw, o: clean_options(raw, run.run_ts, o),
+            lambda df, marks: lake.upsert(df, CLEAN, OPTIONS, OPTION_KEYS, [LOAD_DATE], marks)),
         CALENDAR: observed(
-            CALENDAR, lambda raw, o: clean_calendar(raw, run.run_ts, o),
-            lambda df: lake.overwrite(df, CLEAN, CALENDAR, [LOAD_DATE])),
+            CALENDAR, lambda: lake.read(RAW, CALENDAR), lambda raw, o: clean_calendar(raw, run.run_ts, o),
+            lambda df, marks: lake.overwrite(df, CLEAN, CALENDAR, [LOAD_DATE], marks=marks)),
     }
     return _attempt(steps, run.side_by_side)
 
@@ -204,7 +230,7 @@ def _gates(run: Run, layer: str, counts: Mapping[str, int], log_path: str, least
     if layer == "clean":
         for table, seen in run.stage_counts.items():
             if table in counts and seen["rows_in"]:
-                kept = 100 * counts[table] / seen["rows_in"]
+                kept = 100 * min(seen.values()) / seen["rows_in"]
                 found[table] = "OK" if least_pct <= kept <= 100 else "FLAGGED"
     if layer == "fact" and "fact_orders" in counts:
         found["fact_orders"] = volume_status(run.lake.spark, log_path, "fact_orders", counts["fact_orders"])
@@ -258,17 +284,18 @@ def reload_range(run: Run, start: date, end: date) -> None:
     options = run.read(specs[OPTIONS]).join(orders, "ORDER_ID", "left_semi")
     stamps = {LOAD_DATE: F.lit(run.run_date), "ingestion_timestamp": F.lit(run.run_ts)}
     for name, keys, extract, clean in (
-        (ITEMS, ITEM_KEYS, items, lambda df: clean_order_items(df, run.rules, run.run_ts)),
-        (OPTIONS, OPTION_KEYS, options, lambda df: clean_options(df, run.run_ts)),
+        (ITEMS, ITEM_KEYS, items, lambda df: upsert_clean_items(lake, clean_order_items(df, run.rules, run.run_ts))),
+        (OPTIONS, OPTION_KEYS, options, lambda df: lake.upsert(
+            clean_options(df, run.run_ts), CLEAN, OPTIONS, OPTION_KEYS, [LOAD_DATE])),
     ):
         extract = extract.withColumns(stamps)
         lake.upsert(extract, RAW, name, keys, [LOAD_DATE])
-        lake.upsert(clean(extract), CLEAN, name, keys, [LOAD_DATE])
+        clean(extract)
     stood = fact_before.join(orders.select(F.col("ORDER_ID").alias("order_id")), "order_id", "left_semi").select(MONTH).distinct()
     asked = {f"{y:04d}-{m:02d}" for y in range(start.year, end.year + 1) for m in range(1, 13)
              if (start.year, start.month) <= (y, m) <= (end.year, end.month)}
     months = sorted(asked | {row[0] for row in stood.collect() if row[0]})  # one line per month
-    affected = lake.read(CLEAN, ITEMS).filter(F.date_format("order_date", "yyyy-MM").isin(months))
+    affected = lake.read(CLEAN, ITEMS).filter(F.col(MONTH).isin(months))
     theirs = lake.read(CLEAN, OPTIONS).join(affected.select("ORDER_ID").distinct(), "ORDER_ID", "left_semi")
     fact = fact_orders(affected, theirs, run.run_ts)
     lake.replace_partitions(fact, SERVING, "fact_orders", MONTH, months)

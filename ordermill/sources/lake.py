@@ -5,16 +5,23 @@ snapshot and a small pointer file that names the current one.  A snapshot is
 complete before the pointer moves, so a failed write leaves the table as it
 was, readers never see half of it, and an earlier state can be published again
 by moving the pointer back.
+
+A snapshot of a table that is laid out by one column (months) may hold only
+the values that changed, and name the earlier snapshots the others are read
+from.  It also carries marks: how far named loads had come when it was
+published, so that a load repeated after a failure can tell.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Collection, Mapping, Sequence
+from dataclasses import asdict, dataclass, field
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -24,7 +31,8 @@ from ordermill.schemas import SERVING_TABLES
 from ordermill.session import hadoop_path, materialize
 
 RAW, CLEAN, SERVING = "raw", "clean", "serving"
-POINTER, SCHEMA_FILE = "_CURRENT", "_schema.json"
+POINTER, SCHEMA_FILE, CONTENT_FILE = "_CURRENT", "_schema.json", "_content.json"
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -37,6 +45,23 @@ class TableSpec:
     source: str | None = None
 
 
+@dataclass(frozen=True)
+class Content:
+    """What a snapshot holds: the column it is laid out by, its own values (as text, None for NULL), the values read
+    from earlier snapshots by their numbers, and marks."""
+
+    column: str | None = None
+    own: list[str | None] = field(default_factory=list)
+    reused: dict[int, list[str | None]] = field(default_factory=dict)
+    marks: dict[str, str] = field(default_factory=dict)
+
+
+def _among(column: str, kind: str, values: Collection[str | None]) -> Column:
+    known = [F.lit(v).cast(kind) for v in values if v is not None]
+    found = F.col(column).isin(*known) if known else F.lit(False)
+    return F.coalesce(found, F.lit(None in values))
+
+
 class Lake:
     """Tables under ``root``; with ``keep`` only so many snapshots of a table stay, the current one included."""
 
@@ -126,19 +151,50 @@ class Lake:
         number = self.current(layer, table) if version is None else version
         if number is None:
             raise FileNotFoundError(f"no table {layer}/{table} under {self.root}")
-        path = self.snapshot_path(layer, table, number)
-        schema = StructType.fromJson(json.loads(self._read_line(f"{path}/{SCHEMA_FILE}")))
-        return self.spark.read.format(self.fmt).schema(schema).load(path)
+        schema = StructType.fromJson(json.loads(
+            self._read_line(f"{self.snapshot_path(layer, table, number)}/{SCHEMA_FILE}")))
+
+        def stored(snapshot: int) -> DataFrame:
+            return self.spark.read.format(self.fmt).schema(schema).load(self.snapshot_path(layer, table, snapshot))
+
+        content = self.content(layer, table, number)
+        # At most one scan per value of the column; columns added later are NULL in earlier snapshots.
+        return reduce(DataFrame.unionByName, [stored(number), *[
+            stored(snapshot).filter(_among(content.column, schema[content.column].dataType.simpleString(), values))
+            for snapshot, values in sorted(content.reused.items())]])
+
+    def content(self, layer: str, table: str, version: int | None = None) -> Content:
+        number = self.current(layer, table) if version is None else version
+        line = None if number is None else self._read_line(f"{self.snapshot_path(layer, table, number)}/{CONTENT_FILE}")
+        if line is None:
+            return Content()
+        told = json.loads(line)
+        return Content(**{**told, "reused": {int(k): v for k, v in told["reused"].items()}})
+
+    def marks(self, layer: str, table: str) -> dict[str, str]:
+        """Marks of the current snapshot, none if there is no table."""
+        return self.content(layer, table).marks
+
+    def _own_values(self, path: str, column: str) -> list[str | None]:
+        """Values of the column a snapshot is laid out by, from the names of its folders."""
+        fs, target = hadoop_path(self.spark, path)
+        names = [status.getPath().getName() for status in fs.listStatus(target)]
+        texts = [unquote(name.split("=", 1)[1]) for name in names if name.startswith(f"{column}=")]
+        return [None if text == NULL_FOLDER else text for text in texts]
 
     def overwrite(
         self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = (), rebalance: bool = False,
+        marks: Mapping[str, str] | None = None, reused: Mapping[int, list[str | None]] | None = None,
     ) -> int:
         """Publish ``df`` as the whole table, with whatever columns it has.
 
         ``rebalance`` brings the rows of a partition value together before the
         write and splits values that are too large for one task; worth its
-        shuffle where there are many partition values.
+        shuffle where there are many partition values.  ``marks`` are added to
+        those of the snapshot before; ``reused`` names values of the one column
+        in ``partition_by`` that stay where they are, by snapshot.
         """
+        kept_marks = {**self.marks(layer, table), **(marks or {})}
         number = max([*self.versions(layer, table), self.current(layer, table) or 0], default=0) + 1
         if rebalance:
             df = df.hint("rebalance", *partition_by)
@@ -147,6 +203,9 @@ class Lake:
             writer = writer.partitionBy(*partition_by)
         path = self.snapshot_path(layer, table, number)
         writer.save(path)
+        column = partition_by[0] if len(partition_by) == 1 else None
+        content = Content(column, self._own_values(path, column) if column else [], dict(reused or {}), kept_marks)
+        self._write_line(f"{path}/{CONTENT_FILE}", json.dumps(asdict(content)))
         self._write_line(f"{path}/{SCHEMA_FILE}", df.schema.json())
         self.publish(layer, table, number)
         if self.keep is not None:
@@ -154,26 +213,53 @@ class Lake:
         return number
 
     def drop_old(self, layer: str, table: str, keep: int) -> None:
-        """Delete all but the ``keep`` newest snapshots, and never the current one."""
+        """Delete all but the ``keep`` newest snapshots, the current one, and those they read values from."""
         complete, current = self.versions(layer, table), self.current(layer, table)
-        for version in complete[: max(len(complete) - max(keep, 1), 0)]:
-            if version != current:
+        stay = {*complete[-max(keep, 1):], current}
+        stay |= {source for version in stay for source in self.content(layer, table, version).reused}
+        for version in complete:
+            if version not in stay:
                 fs, path = hadoop_path(self.spark, self.snapshot_path(layer, table, version))
                 fs.delete(path, True)
 
     def upsert(
         self, df: DataFrame, layer: str, table: str, keys: Sequence[str], partition_by: Sequence[str] = (),
+        marks: Mapping[str, str] | None = None,
     ) -> int:
         """Merge ``df`` into the table by ``keys``; the first call creates the table.
 
         The rows of ``df`` are stored before the merge, which reads them twice:
         the source is asked once, and a small extract is broadcast to the table
-        instead of shuffling it.
+        instead of shuffling it.  In a table laid out by one column only those
+        values are read and written that the extract has, or that rows it
+        replaces stand in; to find the latter, the keys of the table are read.
         """
         fresh = keep_one(df, keys)
-        if self.exists(layer, table):
-            fresh = replace_by_key(self.read(layer, table), materialize(fresh, f"{table}-extract"), keys)
-        return self.overwrite(fresh, layer, table, partition_by)
+        if not self.exists(layer, table):
+            return self.overwrite(fresh, layer, table, partition_by, marks=marks)
+        fresh = materialize(fresh, f"{table}-extract")
+        if not marks and fresh.isEmpty():
+            return self.current(layer, table)
+        target, column = self.read(layer, table), self.content(layer, table).column
+        if column is None or list(partition_by) != [column]:
+            return self.overwrite(replace_by_key(target, fresh, keys), layer, table, partition_by, marks=marks)
+        text = F.col(column).cast("string").alias("value")
+        stood = target.select(*dict.fromkeys([*keys, column])).join(fresh.select(*keys), list(keys), "left_semi")
+        touched = [row[0] for row in fresh.select(text).union(stood.select(text)).distinct().collect()]  # a line per value
+        rows = replace_by_key(target.filter(_among(column, dict(target.dtypes)[column], touched)), fresh, keys)
+        return self._replace(rows, layer, table, column, touched, marks)
+
+    def _replace(
+        self, rows: DataFrame, layer: str, table: str, column: str, replaced: Collection[str | None],
+        marks: Mapping[str, str] | None = None,
+    ) -> int:
+        """Publish ``rows`` in place of the values ``replaced``; the others are read from where they are."""
+        before = self.content(layer, table)
+        held = {**before.reused, self.current(layer, table): before.own}
+        reused = {snapshot: [v for v in values if v not in replaced] for snapshot, values in held.items()}
+        return self.overwrite(
+            rows, layer, table, [column], rebalance=True, marks=marks,
+            reused={snapshot: values for snapshot, values in reused.items() if values})
 
     def replace_partitions(
         self, df: DataFrame, layer: str, table: str, partition_by: str, replaced: Sequence[str] | None = None,
@@ -181,17 +267,22 @@ class Lake:
         """Publish a snapshot in which the partitions ``replaced`` hold the rows of ``df`` instead (backfills).
 
         Without ``replaced`` these are the partitions that ``df`` has rows of.
-        One that is replaced by no rows goes; columns that one side lacks are NULL there.  The rows of the others are
-        carried over by a scan that the partition filter keeps from the
-        replaced ones; the snapshot before stays for a rollback.
+        One that is replaced by no rows goes; columns that one side lacks are NULL there.  The others stay where
+        they are, unread, if the table is laid out by that column; else their rows are copied.
+        The snapshot before stays for a rollback.
         """
         if replaced is None:
-            replaced = [row[0] for row in df.select(partition_by).distinct().collect()]  # one line per partition
-        stays = ~F.col(partition_by).isin(list(replaced)) | F.col(partition_by).isNull()
-        kept = self.read(layer, table).filter(stays)
-        fresh = df.filter(~stays)
-        whole = kept.unionByName(fresh, allowMissingColumns=True)
-        return self.overwrite(whole, layer, table, [partition_by], rebalance=True)
+            text = F.col(partition_by).cast("string")
+            replaced = [row[0] for row in df.select(text).distinct().collect() if row[0] is not None]  # one line per partition
+        replaced = [str(v) for v in replaced]
+        old, before = self.read(layer, table), self.content(layer, table).column
+        fresh = df.filter(_among(partition_by, dict(df.dtypes)[partition_by], replaced))
+        if before == partition_by:
+            whole = old.limit(0).unionByName(fresh, allowMissingColumns=True)
+            return self._replace(whole, layer, table, partition_by, replaced)
+        kept = old.filter(~_among(partition_by, dict(old.dtypes)[partition_by], replaced))
+        return self.overwrite(
+            kept.unionByName(fresh, allowMissingColumns=True), layer, table, [partition_by], rebalance=True)
 
     def rollback(self, layer: str, table: str, version: int | None = None) -> int:
         """Publish an earlier snapshot again, the last one before the current by default."""
