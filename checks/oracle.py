@@ -492,6 +492,15 @@ FROM cal_numbered WHERE number % 50 <> 0""", RAW),
     "reload_months": q(
         f"SELECT strftime(order_date, '%Y-%m') AS order_year_month, count(*) AS orders, {usd('sum(total_c)')} AS revenue "
         "FROM fact GROUP BY 1", RELOADED),
+    "reload_dependents": q(" UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, {part} AS part, count(*) AS groups, {big(f'sum({orders})')} AS orders, "
+        f"{big(f'sum({customers})')} AS customers, {usd(f'sum({cents})')} AS revenue FROM {source} GROUP BY 2"
+        for table, part, orders, customers, cents, source in (
+            ("gold_sales_daily", "CAST(order_date AS VARCHAR)", "order_count", "unique_customers", "rev_c", "daily"),
+            ("gold_sales_weekly", "printf('%d-%02d', order_year, order_week)", "order_count", "unique_customers", "total_c", "weekly"),
+            ("gold_sales_monthly", "order_year_month", "order_count", "unique_customers", "total_c", "monthly"),
+            ("gold_location_perf", "printf('%s %d', restaurant_id, revenue_rank)", "total_orders", "unique_customers", "total_c", "locations"),
+            ("gold_loyalty_comparison", "segment", "order_count", "customer_count", "total_c", "loyalty"))), RELOADED + "," + METRICS),
     "reload_moved_orders": q(" UNION ALL ".join(
         f"SELECT '{state}' AS state, strftime(order_date, '%Y-%m') AS order_year_month, count(*) AS orders, "
         f"{usd('sum(total_c)')} AS revenue FROM {fact} GROUP BY 2"

@@ -9,6 +9,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from ordermill.plans.segments import rfm_lifetime, rfm_segments
 from ordermill.plans.upsell import (
     frequent_paid_options, upsell_by_attachment, upsell_summary, upsell_top_options,
 )
-from ordermill.schemas import ITEM_KEYS, OPTION_KEYS
+from ordermill.schemas import ITEM_KEYS, OPTION_KEYS, PARTITION_COLUMNS
 from ordermill.session import materialize, scratch_folder
 from ordermill.sources import sample_data
 from ordermill.sources.calendar_csv import read_calendar
@@ -309,6 +310,40 @@ def reload_moved_orders(t: Tables) -> DataFrame:
     return after.unionByName(months("rolled back"))
 
 
+def reload_dependents(t: Tables) -> DataFrame:
+    """Sales, locations and loyalty after a reload that counted only what it touched, summed per part of each table."""
+    lake = t.new_lake("dependents")
+    start, end = date(2022, 3, 10), date(2022, 5, 20)
+    ingest_raw(Run(lake, t.source, RUN_DATE, RUN_TS, RULES))
+    upsert_clean_items(lake, t.items.withColumn("ingestion_date", F.lit(RUN_DATE)))
+    lake.upsert(t.options.withColumn("ingestion_date", F.lit(RUN_DATE)), CLEAN, OPTIONS, OPTION_KEYS, ["ingestion_date"])
+    for name, table in (
+        ("fact_orders", t.fact), ("gold_sales_daily", t.daily), ("gold_sales_weekly", t.weekly), ("gold_sales_monthly", t.monthly),
+        ("gold_location_perf", t.locations), ("gold_loyalty_comparison", t.loyalty),
+    ):
+        lake.overwrite(table, SERVING, name, [PARTITION_COLUMNS[name]] if name in PARTITION_COLUMNS else [])
+
+    def later(spec) -> DataFrame:
+        df = t.source(spec)
+        return df.withColumn("ITEM_PRICE", (F.col("ITEM_PRICE") + 1).cast("decimal(10,2)")) if spec.name == ITEMS else df
+
+    reload_range(Run(lake, later, "2026-01-02", RUN_TS, RULES), start, end, dependents=True)
+
+    def summed(table: str, part, customers: str, orders: str = "order_count", revenue: str = "total_revenue") -> DataFrame:
+        return lake.load(table).groupBy(part.cast("string").alias("part")).agg(
+            F.count("*").alias("groups"), F.sum(orders).alias("orders"), F.sum(customers).alias("customers"),
+            F.sum(revenue).cast("decimal(18,2)").alias("revenue")).select(F.lit(table).alias("table_name"), "*")
+
+    parts = [
+        summed("gold_sales_daily", F.col("order_date"), "unique_customers", revenue="total_item_revenue"),
+        summed("gold_sales_weekly", F.format_string("%d-%02d", "order_year", "order_week"), "unique_customers"),
+        summed("gold_sales_monthly", F.col("order_year_month"), "unique_customers"),
+        summed("gold_location_perf", F.format_string("%s %d", "restaurant_id", "revenue_rank"), "unique_customers", "total_orders"),
+        summed("gold_loyalty_comparison", F.col("segment"), "customer_count"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def calendar_from_csv(t: Tables) -> DataFrame:
     path = scratch_folder(t.spark, "calendar-csv")
     t.raw_calendar.write.mode("overwrite").option("header", True).csv(path)
@@ -395,6 +430,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "rollback_items": rollback_items,
     "reload_moved_orders": reload_moved_orders,
     "reload_months": reload_months,
+    "reload_dependents": reload_dependents,
     # dimensions and fact
     "dim_date": lambda t: t.calendar,
     "dim_customer": lambda t: t.customers,

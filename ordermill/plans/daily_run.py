@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ordermill.plans.churn import churn_indicators
 from ordermill.plans.cleaning import ItemRules, clean_calendar, clean_options, clean_order_items
+from ordermill.plans.dependents import REFRESHED, refresh
 from ordermill.plans.dimensions import dim_customer, dim_date, dim_menu_item, dim_restaurant
 from ordermill.plans.lifetime_value import clv_daily_stats, clv_snapshot, stored_intervals
 from ordermill.plans.locations import location_perf
@@ -266,13 +267,15 @@ def run_daily(run: Run, strict: bool = False) -> dict[str, dict[str, str]]:
     return done
 
 
-def reload_range(run: Run, start: date, end: date) -> None:
+def reload_range(run: Run, start: date, end: date, dependents: bool = False) -> list[str]:
     """Read the line items of a date range again, with their options, and bring the fact up to date.
 
     Raw and clean tables are upserted.  Of the fact the months of the range are
     rewritten, and those that the orders read again stood in before, so an
-    order that moves to another day leaves no row behind.  Dimensions and
-    metrics follow from the next daily run; ``stale_after_reload`` names them.
+    order that moves to another day leaves no row behind.  With ``dependents``
+    sales, locations and loyalty follow at once, by counting the touched groups
+    again; the other tables follow from the next daily run, ``stale_after_reload``
+    names them.  Returns the months rewritten.
     """
     lake = run.lake
     fact_before = lake.load("fact_orders")
@@ -299,8 +302,12 @@ def reload_range(run: Run, start: date, end: date) -> None:
     theirs = lake.read(CLEAN, OPTIONS).join(affected.select("ORDER_ID").distinct(), "ORDER_ID", "left_semi")
     fact = fact_orders(affected, theirs, run.run_ts)
     lake.replace_partitions(fact, SERVING, "fact_orders", MONTH, months)
+    if dependents:
+        refresh(lake, lake.read(CLEAN, ITEMS), fact_before, months, run.run_ts)
+    return months
 
 
-def stale_after_reload(run: Run) -> list[str]:
+def stale_after_reload(run: Run, dependents: bool = False) -> list[str]:
     """Serving tables that a range reload leaves as they were, to be built again by the next daily run."""
-    return [name for name in SERVING_TABLES if name != "fact_orders" and run.lake.exists(SERVING, name)]
+    done = ("fact_orders", *(REFRESHED if dependents else ()))
+    return [name for name in SERVING_TABLES if name not in done and run.lake.exists(SERVING, name)]

@@ -10,8 +10,22 @@ from ordermill.plans.sales import loyal
 from ordermill.schemas import money, stamped
 
 
+RANKS = {"revenue_rank": "total_revenue", "orders_rank": "total_orders", "customers_rank": "unique_customers"}
+
+
 def location_perf(fact: DataFrame, run_ts: str | None = None) -> DataFrame:
-    """Volume, retention and ranks per location.
+    """Volume, retention and ranks per location."""
+    return stamped(with_ranks(location_measures(fact)), "gold_ingestion_ts", run_ts)
+
+
+def with_ranks(locations: DataFrame) -> DataFrame:
+    """Ranks over one line per location."""
+    return locations.select("*", *[
+        F.row_number().over(Window.orderBy(F.desc(measure), "restaurant_id")).alias(name) for name, measure in RANKS.items()])
+
+
+def location_measures(fact: DataFrame) -> DataFrame:
+    """Volume and retention per location.
 
     Orders are summed per location and customer, then per location; a location
     with a third of all orders spreads over its customers.  Retention is the
@@ -37,12 +51,8 @@ def location_perf(fact: DataFrame, run_ts: str | None = None) -> DataFrame:
         percent(repeats, F.count("user_id")).alias("retention_rate_pct"),
     )
     weeks = fact.groupBy("restaurant_id").agg(F.count_distinct("order_year", "order_week").alias("active_weeks"))
-    # Ranks run over one line per location.
-    def rank_by(measure: str):
-        return F.row_number().over(Window.orderBy(F.desc(measure), "restaurant_id"))
-
     active = F.col("active_weeks")
-    result = totals.join(weeks, F.equal_null(totals["restaurant_id"], weeks["restaurant_id"])).drop(
+    return totals.join(weeks, F.equal_null(totals["restaurant_id"], weeks["restaurant_id"])).drop(
         weeks["restaurant_id"]).select(
         "restaurant_id", "total_orders", "unique_customers", "total_revenue",
         ratio(F.col("total_revenue"), F.col("total_orders")).alias("avg_order_value"),
@@ -51,8 +61,4 @@ def location_perf(fact: DataFrame, run_ts: str | None = None) -> DataFrame:
         ratio(F.col("total_revenue"), active).alias("revenue_per_week"),
         percent(F.col("loyalty_orders"), F.col("total_orders")).alias("loyalty_order_pct"),
         "repeat_customer_count", "retention_rate_pct",
-        rank_by("total_revenue").alias("revenue_rank"),
-        rank_by("total_orders").alias("orders_rank"),
-        rank_by("unique_customers").alias("customers_rank"),
     )
-    return stamped(result, "gold_ingestion_ts", run_ts)
