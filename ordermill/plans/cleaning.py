@@ -17,11 +17,14 @@ from ordermill.schemas import ITEM_KEYS, OPTION_KEYS, stamped
 
 @dataclass(frozen=True)
 class ItemRules:
-    """What counts as test data and as an outlier; limits are inclusive."""
+    """What counts as test data and as an outlier; limits are inclusive.
 
-    # The app, location and category that hold test orders, and the limits.
-    excluded_apps: Sequence[str] = ("Retail Restaurant - DEVELOPMENT",)
-    excluded_restaurants: Sequence[str] = ("6050e76361e498ca740bba6f",)
+    Apps and locations that hold test orders are each company's own: none are excluded unless named.
+    """
+
+    excluded_apps: Sequence[str] = ()
+    excluded_restaurants: Sequence[str] = ()
+    # The category that holds test items, and the limits.
     excluded_categories: Sequence[str] = ("Test Items",)
     price_limits: tuple[Decimal, Decimal] = (Decimal("0"), Decimal("50"))
     quantity_limits: tuple[int, int] = (1, 20)
@@ -49,13 +52,17 @@ def _all_present(keys: Sequence[str]) -> Column:
 def item_stages(rules: ItemRules = ItemRules()) -> list[Stage]:
     """Filters on raw line items.
 
-    A row without app or location is dropped, since nothing says it is no test
-    order; a row without category stays and is named Unknown later.
+    Where test apps or locations are named, a row without app or location is
+    dropped, since nothing says it is no test order; a row without category
+    stays and is named Unknown later.
     """
+    def not_among(column: str, values: Sequence[str]) -> Column:
+        return ~F.col(column).isin(*values) if values else F.lit(True)
+
     category = F.col("ITEM_CATEGORY")
     real_order = (
-        ~F.col("APP_NAME").isin(*rules.excluded_apps)
-        & ~F.col("RESTAURANT_ID").isin(*rules.excluded_restaurants)
+        not_among("APP_NAME", rules.excluded_apps)
+        & not_among("RESTAURANT_ID", rules.excluded_restaurants)
         & (category.isNull() | ~category.isin(*rules.excluded_categories))
     )
     in_range = (

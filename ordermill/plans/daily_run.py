@@ -29,7 +29,7 @@ from ordermill.plans.orders import fact_orders
 from ordermill.plans.sales import sales_daily, sales_monthly, sales_weekly
 from ordermill.plans.segments import rfm_segments
 from ordermill.plans.upsell import upsell_summary, upsell_top_options
-from ordermill.schemas import CALENDAR_KEYS, ITEM_KEYS, OPTION_KEYS, PARTITION_COLUMNS, SERVING_TABLES
+from ordermill.schemas import CALENDAR_KEYS, ITEM_KEYS, OPTION_KEYS, LOOKUP_COLUMNS, PARTITION_COLUMNS, SERVING_TABLES
 from ordermill.session import materialize
 from ordermill.sources.holidays import us_holidays
 from ordermill.sources.lake import CLEAN, RAW, SERVING, Lake, TableSpec
@@ -164,7 +164,8 @@ def _serve(run: Run, tables: Mapping[str, Callable[[], DataFrame]]) -> dict[str,
     def step(name: str) -> Step:
         parts = [PARTITION_COLUMNS[name]] if name in PARTITION_COLUMNS else []
         # Months are many, years are few: only the fact is brought together by partition.
-        return lambda: run.lake.overwrite(tables[name](), SERVING, name, parts, rebalance=name == "fact_orders") and None
+        return lambda: run.lake.overwrite(
+            tables[name](), SERVING, name, parts, rebalance=name == "fact_orders", lookup=LOOKUP_COLUMNS.get(name)) and None
 
     return _attempt({name: step(name) for name in tables}, run.side_by_side)
 
@@ -176,7 +177,8 @@ def dimension_layer(run: Run) -> dict[str, str]:
     ts = run.run_ts
     return _serve(run, {
         "dim_date": lambda: dim_date(items(), us_holidays(run.lake.spark), ts),
-        "dim_customer": lambda: dim_customer(items(), ts),
+        # The customer-days come in ranges of customers as they are expanded.
+        "dim_customer": lambda: dim_customer(items(), ts).repartitionByRange("user_id").sortWithinPartitions("user_id"),
         "dim_restaurant": lambda: dim_restaurant(items(), ts),
         "dim_menu_item": lambda: dim_menu_item(items(), ts),
     })

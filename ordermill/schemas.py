@@ -72,6 +72,9 @@ PARTITION_COLUMNS = {
     "gold_sales_monthly": "order_year",
 }
 
+#: Tables that are asked for one value of a column: laid out by its ranges, with a filter of the values of each file.
+LOOKUP_COLUMNS = {"gold_clv_snapshot": "user_id", "dim_customer": "user_id"}
+
 
 def money(col: Column) -> Column:
     """Decimals grow with every sum and product; each table boundary brings them back."""

@@ -185,6 +185,7 @@ class Lake:
     def overwrite(
         self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = (), rebalance: bool = False,
         marks: Mapping[str, str] | None = None, reused: Mapping[int, list[str | None]] | None = None,
+        lookup: str | None = None,
     ) -> int:
         """Publish ``df`` as the whole table, with whatever columns it has.
 
@@ -192,13 +193,17 @@ class Lake:
         write and splits values that are too large for one task; worth its
         shuffle where there are many partition values.  ``marks`` are added to
         those of the snapshot before; ``reused`` names values of the one column
-        in ``partition_by`` that stay where they are, by snapshot.
+        in ``partition_by`` that stay where they are, by snapshot.  With
+        ``lookup`` files carry a Bloom filter of that column; rows should come
+        sorted by it in ranges, so that a value stands in few pages.
         """
         kept_marks = {**self.marks(layer, table), **(marks or {})}
         number = max([*self.versions(layer, table), self.current(layer, table) or 0], default=0) + 1
         if rebalance:
             df = df.hint("rebalance", *partition_by)
         writer = df.write.format(self.fmt).mode("overwrite")
+        if lookup is not None:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         path = self.snapshot_path(layer, table, number)
