@@ -315,6 +315,34 @@ option_counts AS (
   SELECT count(*) AS input, count(*) AS after_null_keys, count(*) AS after_values,
     (SELECT count(*) FROM opts) AS after_dedupe FROM opts_raw)"""
 
+DAMAGED = RAW + f""",
+damaged AS (
+  SELECT * EXCLUDE (n) REPLACE (
+    CASE n % 23 WHEN 0 THEN 'Grill BBQ Plates 2' WHEN 1 THEN 'Bowls0' WHEN 2 THEN '  Sandwiches, hot' WHEN 3 THEN 'Drip C0offee'
+      WHEN 4 THEN 'Sqalads' WHEN 5 THEN 'Kids' WHEN 6 THEN 'Kid''s Menu' WHEN 7 THEN NULL WHEN 8 THEN '   ' ELSE category END AS category,
+    CASE WHEN n % 29 <> 0 THEN app END AS app, CASE WHEN n % 31 <> 0 THEN rest END AS rest,
+    CASE WHEN n % 43 <> 0 AND n % 47 <> 0 AND n % 53 <> 0 THEN ts END AS ts,
+    CASE n % 13 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN NULL WHEN 3 THEN NULL ELSE loyal END AS loyal,
+    CASE WHEN n % 17 = 0 AND card IS NOT NULL THEN 'S' || CAST(n % 5 AS VARCHAR) ELSE card END AS card,
+    CASE WHEN n % 37 <> 0 THEN order_id END AS order_id, CASE WHEN n % 41 <> 0 THEN line_id END AS line_id)
+  FROM (SELECT *, CAST(split_part(line_id, '-', 1) AS BIGINT) * 7 + CAST(split_part(line_id, '-', 2) AS BIGINT) AS n FROM items_raw)),
+told AS (
+  SELECT *, coalesce(app <> 'Shop - DEVELOPMENT' AND rest <> 'R27' AND (category IS NULL OR category <> 'Test Items'), false) AS real,
+    order_id IS NOT NULL AND line_id IS NOT NULL AS keyed, price_c BETWEEN 0 AND 5000 AND qty BETWEEN 1 AND 20 AS in_range FROM damaged),
+kept AS (
+  SELECT * REPLACE (CASE WHEN coalesce(trim(category), '') = '' THEN 'Unknown' WHEN contains(category, 'BBQ Plates') THEN 'BBQ Plates'
+      WHEN category = 'Bowls0' THEN 'Bowls' WHEN regexp_matches(category, '^\\s*Sandwiches') THEN 'Sandwiches'
+      WHEN contains(category, 'Drip C') AND contains(category, 'offee') THEN 'Drip Coffee' WHEN category = 'Sqalads' THEN 'Salads'
+      WHEN category = 'Kids' OR starts_with(category, 'Kid''s') THEN 'Kid''s' ELSE trim(category) END AS category)
+  FROM told WHERE real AND keyed AND in_range),
+items AS (
+  SELECT * EXCLUDE (rn), CAST(ts AS DATE) AS order_date, hour(ts) AS order_hour, price_c * qty AS rev_c
+  FROM (SELECT *, row_number() OVER (PARTITION BY order_id, line_id ORDER BY app, rest, ts NULLS FIRST, user_id NULLS FIRST,
+    card NULLS FIRST, loyal NULLS FIRST, category, item, price_c, qty) AS rn FROM kept) WHERE rn = 1),
+item_counts AS (
+  SELECT count(*) AS input, count(*) FILTER (real) AS after_test_data, count(*) FILTER (real AND keyed) AS after_null_keys,
+    count(*) FILTER (real AND keyed AND in_range) AS after_outliers, (SELECT count(*) FROM items) AS after_dedupe FROM told)"""
+
 DIGEST = "SELECT app AS \"APP_NAME\", rest AS \"RESTAURANT_ID\", count(*) AS row_count, " \
     f"count(DISTINCT order_id) AS orders, {usd('sum(price_c)')} AS price_sum FROM {{}} GROUP BY 1, 2"
 
@@ -440,6 +468,13 @@ SELECT date_key, clv_tier, {big('year(date_key)')} AS snapshot_year, count(*) AS
   {big("sum(date_diff('day', first_order_date, date_key))")} AS age_days, count(*) FILTER (rev_c > 0) AS active
 FROM clv GROUP BY 1, 2, 3"""
 
+CLEAN_COLUMNS = f"""
+SELECT app AS "APP_NAME", rest AS "RESTAURANT_ID", strftime(ts, '%Y-%m-%d %H:%M:%S') AS "CREATION_TIME_UTC",
+  order_id AS "ORDER_ID", user_id AS "USER_ID", card AS "PRINTED_CARD_NUMBER", loyal AS "IS_LOYALTY", 'USD' AS "CURRENCY",
+  line_id AS "LINEITEM_ID", category AS "ITEM_CATEGORY", item AS "ITEM_NAME", {usd('price_c')} AS "ITEM_PRICE",
+  {big('qty')} AS "ITEM_QUANTITY", order_date, {big('order_hour')} AS order_hour, {usd('rev_c')} AS line_item_revenue,
+  user_id IS NULL AS is_anonymous, price_c = 0 AS is_zero_price_flag FROM items"""
+
 QUARTILES = ", ".join(
     f"{quantile('spend_c', p, 100)} AS {n}" for n, p in (("p25_spend", 25), ("median_spend", 50), ("p75_spend", 75)))
 
@@ -468,12 +503,8 @@ ORACLES: dict[str, str] = {
         "SELECT 'order_items' AS table_name, '2026-01-01' AS ingestion_date, count(*) AS row_count FROM items_keyed "
         "UNION ALL SELECT 'order_item_options', '2026-01-01', count(*) FROM opts_keyed "
         "UNION ALL SELECT 'date_dim', '2026-01-01', count(*) FROM cal_raw", RAW_KEYED),
-    "clean_order_items": q(f"""
-SELECT app AS "APP_NAME", rest AS "RESTAURANT_ID", strftime(ts, '%Y-%m-%d %H:%M:%S') AS "CREATION_TIME_UTC",
-  order_id AS "ORDER_ID", user_id AS "USER_ID", card AS "PRINTED_CARD_NUMBER", loyal AS "IS_LOYALTY", 'USD' AS "CURRENCY",
-  line_id AS "LINEITEM_ID", category AS "ITEM_CATEGORY", item AS "ITEM_NAME", {usd('price_c')} AS "ITEM_PRICE",
-  {big('qty')} AS "ITEM_QUANTITY", order_date, {big('order_hour')} AS order_hour, {usd('rev_c')} AS line_item_revenue,
-  user_id IS NULL AS is_anonymous, price_c = 0 AS is_zero_price_flag FROM items"""),
+    "clean_order_items": q(CLEAN_COLUMNS),
+    "clean_damaged_items": q(CLEAN_COLUMNS.replace(big("order_hour"), "CAST(order_hour AS DOUBLE)"), DAMAGED),
     "clean_options": q(f"""
 SELECT order_id AS "ORDER_ID", line_id AS "LINEITEM_ID", grp AS "OPTION_GROUP_NAME", opt AS "OPTION_NAME",
   {usd('price_c')} AS "OPTION_PRICE", {big('qty')} AS "OPTION_QUANTITY", price_c > 0 AS is_paid_option,
@@ -485,6 +516,7 @@ SELECT d AS date_key, strftime(d, '%d-%m-%Y') AS date_key_raw, {big('year(d)')}
   CASE WHEN number % 30 = 0 THEN 'Labor Day' END AS holiday_name
 FROM cal_numbered WHERE number % 50 <> 0""", RAW),
     "item_stage_counts": q(stage_lines("item_counts", ITEM_STAGES), STAGES),
+    "damaged_stage_counts": q(stage_lines("item_counts", ITEM_STAGES), DAMAGED),
     "option_stage_counts": q(stage_lines("option_counts", OPTION_STAGES), STAGES),
     "upsert_items": q(DIGEST.format("merged"), UPSERTED),
     "ingest_stream": q(DIGEST.format("merged"), UPSERTED),
@@ -737,6 +769,9 @@ FROM items_raw GROUP BY 1, 2""", RAW),
     "aud_shared_cards": q("""
 SELECT card AS "PRINTED_CARD_NUMBER", count(DISTINCT user_id) AS customers FROM items_raw
 WHERE card IS NOT NULL GROUP BY 1 HAVING count(DISTINCT user_id) > 1""", RAW),
+    "aud_damaged_shared_cards": q("""
+SELECT card AS "PRINTED_CARD_NUMBER", count(DISTINCT user_id) AS customers FROM damaged
+WHERE card IS NOT NULL GROUP BY 1 HAVING count(DISTINCT user_id) > 1""", DAMAGED),
     "aud_anonymous_cards": q(
         share("card IS NOT NULL", "has_card", "nobody", digits=1),
         RAW + ", nobody AS (SELECT * FROM items_raw WHERE user_id IS NULL)"),

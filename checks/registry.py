@@ -76,6 +76,10 @@ class Tables:
     def raw_items(self) -> DataFrame:
         return self._keep("raw-items", lambda: sample_data.raw_order_items(self.spark, self.folder))
 
+    @property
+    def damaged_items(self) -> DataFrame:
+        return sample_data.damaged_order_items(self.raw_items)
+
     @property
     def raw_options(self) -> DataFrame:
         return sample_data.raw_order_item_options(self.spark, self.folder)
@@ -441,9 +445,12 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # raw and clean tables
     "ingest_tables": ingest_tables,
     "clean_order_items": lambda t: t.items,
+    "clean_damaged_items": lambda t: clean_order_items(t.damaged_items, RULES).withColumn(
+        "order_hour", F.col("order_hour").cast("double")),
     "clean_options": lambda t: t.options,
     "clean_calendar": calendar_from_csv,
     "item_stage_counts": lambda t: item_stage_counts(t.raw_items, RULES),
+    "damaged_stage_counts": lambda t: item_stage_counts(t.damaged_items, RULES),
     "option_stage_counts": lambda t: option_stage_counts(t.raw_options),
     "upsert_items": upsert_items,
     "ingest_stream": stream_items,
@@ -539,6 +546,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "aud_impact": lambda t: audits.cleaning_impact(t.raw_items, RULES),
     "aud_card_consistency": lambda t: audits.card_consistency(t.raw_items),
     "aud_shared_cards": lambda t: audits.shared_cards(t.raw_items),
+    "aud_damaged_shared_cards": lambda t: audits.shared_cards(t.damaged_items),
     "aud_anonymous_cards": lambda t: audits.anonymous_with_card(t.raw_items),
     "gate_rows": row_gate,
     "gate_volume": volume_by_month,

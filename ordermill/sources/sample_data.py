@@ -113,3 +113,36 @@ def raw_purchases(spark: SparkSession, folder: str) -> DataFrame:
         (cents.cast("decimal(10,0)") / 100).cast("decimal(10,2)").alias("ITEM_PRICE"),
         F.lit(1).alias("ITEM_QUANTITY"),
     )
+
+
+def damaged_order_items(items: DataFrame) -> DataFrame:
+    """Raw line items with every kind of damage that cleaning repairs or drops.
+
+    Category names damaged in each known way, missing keys, apps and locations, times and flags that cannot be read,
+    and cards that several customers share, all by a number of the line.
+    """
+    order, line = (F.split_part("LINEITEM_ID", F.lit("-"), F.lit(part)).cast("bigint") for part in (1, 2))
+    numbered = items.withColumn("n", order * 7 + line)
+
+    def every(k: int, rest: int = 0):
+        return F.col("n") % k == rest
+
+    category = F
+    for rest, name in enumerate((
+        "Grill BBQ Plates 2", "Bowls0", "  Sandwiches, hot", "Drip C0offee", "Sqalads", "Kids", "Kid's Menu", None, "   ",
+    )):
+        category = category.when(every(23, rest), F.lit(name))
+    loyal = F.when(every(13, 0), "true").when(every(13, 1), "False").when(every(13, 2), "maybe").when(every(13, 3), F.lit(None))
+    time = F.when(every(43), "not a time").when(every(47), F.lit(None)).when(every(53), "")
+    shared = every(17) & F.col("PRINTED_CARD_NUMBER").isNotNull()
+    return numbered.withColumns({
+        "ITEM_CATEGORY": category.otherwise(F.col("ITEM_CATEGORY")),
+        "APP_NAME": F.when(~every(29), F.col("APP_NAME")),
+        "RESTAURANT_ID": F.when(~every(31), F.col("RESTAURANT_ID")),
+        "CREATION_TIME_UTC": time.otherwise(F.col("CREATION_TIME_UTC")),
+        "IS_LOYALTY": loyal.otherwise(F.col("IS_LOYALTY")),
+        "PRINTED_CARD_NUMBER": F.when(shared, F.concat(F.lit("S"), (F.col("n") % 5).cast("string"))).otherwise(
+            F.col("PRINTED_CARD_NUMBER")),
+        "ORDER_ID": F.when(~every(37), F.col("ORDER_ID")),
+        "LINEITEM_ID": F.when(~every(41), F.col("LINEITEM_ID")),
+    }).drop("n")
