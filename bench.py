@@ -22,7 +22,7 @@ HEADLINES = (
     "item_stage_counts", "clean_order_items", "clean_options", "dim_date", "dim_customer", "dim_restaurant",
     "dim_menu_item", "fact_orders", "clv_days", "rfm_segments", "churn_indicators", "sales_daily", "sales_weekly",
     "sales_monthly", "loyalty_comparison", "location_perf", "upsell_summary", "upsell_top_options",
-    "rep_clv_by_day", "rep_clv_kpis", "rep_trajectory", "rep_segment_leaderboard", "rep_churn_breakdown",
+    "clv_daily_stats", "rep_clv_by_day", "rep_clv_kpis", "rep_trajectory", "rep_segment_leaderboard", "rep_churn_breakdown",
     "aud_profile_items", "aud_dependency", "upsert_items",
 )
 
