@@ -241,7 +241,7 @@ class Lake:
         """
         fresh = keep_one(df, keys)
         if not self.exists(layer, table):
-            return self.overwrite(fresh, layer, table, partition_by, marks=marks)
+            return self.overwrite(fresh, layer, table, partition_by, rebalance=len(partition_by) == 1, marks=marks)
         fresh = materialize(fresh, f"{table}-extract")
         if not marks and fresh.isEmpty():
             return self.current(layer, table)
