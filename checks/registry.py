@@ -430,6 +430,15 @@ def clv_range_sketched(t: Tables) -> DataFrame:
         "period", "clv_tier", "customer_days", *[c.alias(name) for name, c in within.items()])
 
 
+def profile_sketched(t: Tables) -> DataFrame:
+    """Column profile with sketched distinct counts (exact for apps), judged by the exact profile."""
+    exact = audits.column_profile(t.raw_items).select("column_name", F.col("distinct_count").alias("exact_count"))
+    profile = audits.column_profile(t.raw_items, exact=["APP_NAME"]).join(exact, "column_name")
+    off = F.abs(F.col("distinct_count") - F.col("exact_count"))
+    within = F.when(F.col("column_name") == "APP_NAME", off == 0).otherwise(off <= audits.DISTINCT_ERROR * F.col("exact_count"))
+    return profile.select("column_name", "row_count", "null_count", "filled_pct", within.alias("distinct_within_bound"))
+
+
 def customers_rollup(t: Tables) -> DataFrame:
     """Customers per location and week or month, and those who came again, from stored day sketches."""
     sketches = materialize(sketch.customer_sketches(t.fact), "customer-sketches")
@@ -523,6 +532,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "sql_over_views": sql_over_views,
     # audits
     "aud_profile_items": lambda t: audits.column_profile(t.raw_items),
+    "aud_profile_items_sketched": profile_sketched,
     "aud_profile_options": lambda t: audits.column_profile(t.raw_options),
     "aud_price_percentiles": lambda t: audits.numeric_profile(t.raw_items, "ITEM_PRICE", 50),
     "aud_top_restaurants": lambda t: audits.value_distribution(t.raw_items, "RESTAURANT_ID", 10),

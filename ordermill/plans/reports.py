@@ -124,14 +124,15 @@ def _medians(df: DataFrame, keys: list[str], columns: dict[str, tuple[str, int]]
     """Median columns per key: name to (source column, decimals).
 
     The columns are put below each other first, so that all medians come from
-    the same two passes.
+    one table of frequencies: days and orders have few values, and of amounts
+    there is one a customer.
     """
     cells = F.array(*[
         F.struct(F.lit(name).alias("_measure"), integer_key(F.col(source), scale).alias("_value"))
         for name, (source, scale) in columns.items()
     ])
     long = df.select(*keys, F.inline(cells))
-    medians = group_quantiles(long, [*keys, "_measure"], F.col("_value"), {"_median": 0.5})
+    medians = group_quantiles(long, [*keys, "_measure"], F.col("_value"), {"_median": 0.5}, counted=True)
     return medians.groupBy(*keys).agg(*[
         (F.max(F.when(F.col("_measure") == name, F.col("_median"))) / F.lit(float(10**scale))).alias(name)
         for name, (_, scale) in columns.items()

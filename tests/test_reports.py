@@ -109,3 +109,22 @@ def test_audits(spark):
     line = audits.orphan_audit(items, options).first()
     assert (line.orders_in_both, line.orders_without_options, line.option_orders_without_items,
             line.orphan_option_rows) == (1, 2, 1, 2)
+
+
+def test_column_profile_repeats_no_rows_and_its_sketches_keep_their_bound(spark):
+    df = spark.range(30_000).select(
+        F.col("id"), (F.col("id") % 7).cast("string").alias("few"), F.when(F.col("id") % 2 == 0, "").alias("odd. name"),
+        F.lit(None).cast("string").alias("none"))
+    exact = {r["column_name"]: r for r in audits.column_profile(df).collect()}
+    assert [exact[c]["distinct_count"] for c in df.columns] == [30_000, 7, 0, 0]
+    assert [exact[c]["null_count"] for c in df.columns] == [0, 0, 30_000, 30_000]
+    mixed = audits.column_profile(df, exact=["few"])
+    for r in mixed.collect():
+        wanted = exact[r["column_name"]]
+        assert abs(r["distinct_count"] - wanted["distinct_count"]) <= audits.DISTINCT_ERROR * wanted["distinct_count"]
+        assert (r["row_count"], r["filled_pct"]) == (wanted["row_count"], wanted["filled_pct"])
+    plan = mixed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    for node in plan.split("\n"):
+        assert "Expand" not in node  # the one Generate writes the single line of totals out by column
+    assert plan.count("Generate") == 1
+    assert audits.column_profile(df.limit(0)).count() == 0
