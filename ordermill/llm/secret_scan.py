@@ -9,15 +9,18 @@ token whose margin exceeds m is outside in every best path, so the chain falls
 apart there and only the stretches between are decoded.  This is exact.
 
 The field is trained on a bounded sample (``Sample``) by its likelihood, in
-numpy on the driver; its labels are what the patterns find.  Spans of the
+numpy on the driver.  Its labels are what the patterns find in these texts,
+and made-up secrets of many shapes set into them beside look-alikes that are
+none (``planted``), so that it learns what the patterns don't know.  Its tags
+outside a secret get ``caution`` on top.  Spans of the
 field that lie within those of the patterns are left to the patterns; one that
 reaches further, be it into the next sign, is kept whole beside them.
 
 Spans are (kind, start, end) in code points, end exclusive.  The kind of the
 field's spans is ``field``.
 
-Defined results: null and empty texts have no spans.  Without a sample that
-holds secrets the field adds nothing.  Repeated rows are scanned one by one.
+Defined results: null and empty texts have no spans.  Without a sample of
+texts with words the field adds nothing.  Repeated rows are scanned one by one.
 Whole texts are read; other columns pass through untouched.
 """
 
@@ -33,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.llm import codepoints as cp
+from ordermill.llm import planted
 
 #: The patterns, with the fewest characters of the part that counts.
 ASSIGN = re.compile(
@@ -47,7 +51,7 @@ KINDS = ("assign", "access", "hex", "field")
 #: A text without any of these, in lower case, has no assignment.
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-SHAPES, WORDS, FILES = 512, 2048, 64
+SHAPES, WORDS, FILES, TEXTURES = 512, 2048, 64, 128
 BEGIN, INSIDE, OUTSIDE = range(3)
 Span = tuple[str, int, int]
 
@@ -113,6 +117,13 @@ def tokens(part: cp.Block) -> Tokens:
     bucket = np.searchsorted([2, 3, 6, 12, 18, 24, 40], length, side="right")
     shape = (bucket * 64 + (digits > 0) * 32 + (digits * 4 >= length) * 16 + (uppers > 0) * 8 + (lowers > 0) * 4
              + (total(hexadecimal) == length) * 2 + (digits + uppers + lowers < length))
+    # How often a token changes between digits, capitals and small letters, and whether signs or letters touch it.
+    kinds = digit + 2 * upper + 4 * lower
+    changed = np.zeros(len(codes), dtype=bool)
+    changed[1:] = kinds[1:] != kinds[:-1]
+    changes = total(changed) - changed[starts]
+    solid = np.concatenate([[False], joined | (kind == cp.OTHER), [False]])
+    texture = (bucket * 16 + np.searchsorted([1, 3, 6], changes, side="right") * 4 + solid[starts] * 2 + solid[ends + 1])
     folded = codes + np.uint32(32) * upper.astype(np.uint32)
     word = 1 + (cp.span_hashes(folded, starts, ends) % np.uint64(WORDS - 1)).astype(np.int64)
     word[(digits > 0) | (length > 16)] = 0  # not words: their shape has to tell
@@ -138,10 +149,13 @@ def tokens(part: cp.Block) -> Tokens:
     return Tokens(starts, ends, counts, [
         shape, SHAPES + word, SHAPES + WORDS + neighbour(word, -1), SHAPES + 2 * WORDS + neighbour(word, -2),
         SHAPES + 3 * WORDS + neighbour(word, -3), SHAPES + 4 * WORDS + neighbour(word, 1),
-        SHAPES + 5 * WORDS + neighbour(shape, -1), 2 * SHAPES + 5 * WORDS + traits[text]])
+        SHAPES + 5 * WORDS + neighbour(shape, -1), 2 * SHAPES + 5 * WORDS + traits[text],
+        TEXTURE + texture, TEXTURE + TEXTURES + neighbour(texture, 1)])
 
 
-N_FEATURES = 2 * SHAPES + 5 * WORDS + FILES
+TRAITS = 2 * SHAPES + 5 * WORDS
+TEXTURE = TRAITS + FILES
+N_FEATURES = TEXTURE + 2 * TEXTURES
 
 
 @dataclass
@@ -272,45 +286,75 @@ class Sample:
     #: Tokens of a training chain, and chains without a secret for each one with.
     chain: int = 24
     outside: int = 4
-    rounds: int = 80
-    rate: float = 0.3
-    decay: float = 1e-3
-    #: Words decay faster, so that names of secrets that were not in the sample don't speak against one.
-    word_decay: float = 2e-2
+    rounds: int = 16
+    batch: int = 256
+    rate: float = 0.2
+    #: Penalties on weights over the whole sample, greater on words, so that unknown names don't speak against a secret.
+    decay: float = 0.3
+    word_decay: float = 6.0
+    #: The greatest weight of a transition: the smaller, the more tokens are settled without their neighbours.
+    transition: float = 1.0
     seed: int = 5
+    #: Secrets set into each text, beside twice as many look-alikes, and the kinds they are of.
+    planted_each: int = 3
+    kinds: tuple[str, ...] = tuple(planted.SECRETS)
+    #: Log odds that a token has to be a secret's by, beyond what was learned: planted texts hold more secrets than others.
+    caution: float = 0.5
+
+
+@dataclass
+class _Labelled:
+    """A training text: its secrets, and places to cut chains around beside them; None for those found by shape."""
+
+    text: str
+    secrets: list[tuple[int, int]]
+    centres: list[int] | None = None
+
+
+def _training_texts(texts: list[str], sample: Sample) -> list[_Labelled]:
+    found = []
+    for text in texts:
+        # Of an assignment the secret itself, without the name it is assigned to.
+        found.append(_Labelled(text, [
+            (ASSIGN.match(text, a).start(2) if kind == "assign" else a, b) for kind, a, b in pattern_spans(text)]))
+    for text, a, b, secret in planted.examples(texts, sample.planted_each, sample.seed, sample.kinds):
+        found.append(_Labelled(text, [(a, b)] if secret else [], [a]))
+    return found
 
 
 def _chains(texts: list[str], sample: Sample) -> tuple[np.ndarray, np.ndarray]:
-    """(features, tags) of chains of tokens: around what the patterns find, around other digits, and elsewhere."""
+    """(features, tags) of chains of tokens: around secrets and look-alikes, around other digits, and elsewhere."""
     random = np.random.default_rng(sample.seed)
     features, tags = [], []
-    for _, part in cp.blocks(texts):
+    labelled = _training_texts(texts, sample)
+    for at, part in cp.blocks([x.text for x in labelled]):
         found = tokens(part)
         stop = np.cumsum(found.counts)
-        for i, (a, b) in enumerate(zip(part.begins.tolist(), part.ends.tolist(), strict=True)):
+        for i, a in enumerate(part.begins.tolist()):
             n = int(found.counts[i])
             if n < sample.chain:
                 continue
             own = slice(stop[i] - n, stop[i])
             starts, ends = found.starts[own] - a, found.ends[own] - a
-            text = part.text[a:b]
+            one = labelled[at + i]
             label = np.full(n, OUTSIDE)
-            for kind, start, end in pattern_spans(text):
-                if kind == "assign":  # the secret itself, without the name it is assigned to
-                    start = ASSIGN.match(text, start).start(2)
+            for start, end in one.secrets:
                 inside = np.flatnonzero((starts >= start) & (ends <= end))
                 label[inside] = INSIDE
                 label[inside[:1]] = BEGIN
-            hits = np.flatnonzero(label == BEGIN)
             table = np.stack([column[own] for column in found.features], axis=1)
-            digits = np.flatnonzero((table[:, 0] & 32 > 0) & (label == OUTSIDE))
-            centres = np.concatenate([hits, digits[:8], random.integers(0, n, sample.outside * max(1, len(hits)))])
+            if one.centres is None:
+                hits = np.flatnonzero(label == BEGIN)
+                digits = np.flatnonzero((table[:, 0] & 32 > 0) & (label == OUTSIDE))
+                centres = np.concatenate([hits, digits[:8], random.integers(0, n, sample.outside * max(1, len(hits)))])
+            else:
+                centres = np.clip(np.searchsorted(starts, one.centres), 0, n - 1)
             for centre in centres[:64]:
                 low = int(np.clip(centre - random.integers(2, sample.chain - 2), 0, n - sample.chain))
                 features.append(table[low:low + sample.chain])
                 tags.append(label[low:low + sample.chain])
     if not tags:
-        return np.zeros((0, sample.chain, 8), dtype=np.int64), np.zeros((0, sample.chain), dtype=np.int64)
+        return np.zeros((0, sample.chain, 10), dtype=np.int64), np.zeros((0, sample.chain), dtype=np.int64)
     known, tags = np.array(features), np.array(tags)
     # Once more with the words unknown, so that shapes and the text have to tell as well.
     unknown = known.copy()
@@ -341,32 +385,32 @@ def _expected(emission: np.ndarray, transition: np.ndarray) -> tuple[np.ndarray,
 
 
 def train(texts: list[str], sample: Sample = Sample()) -> Field | None:
-    """A field that maximises the likelihood of the tags, less a penalty on weights; None where there is no secret."""
+    """A field that maximises the likelihood of the tags, less a penalty on weights; None where there is no text to learn from."""
     features, tags = _chains(texts, sample)
     if not (tags == BEGIN).any():
         return None
-    n = len(tags)
-    truth = np.eye(3)[tags]
-    moves = np.zeros((3, 3))
-    np.add.at(moves, (tags[:, :-1].ravel(), tags[:, 1:].ravel()), 1)
-    flat = features.reshape(-1, features.shape[-1])
+    n, length = tags.shape
     emission, transition = np.zeros((N_FEATURES, 3)), np.zeros((3, 3))
     decay = np.full((N_FEATURES, 1), sample.decay)
     decay[SHAPES:SHAPES + 5 * WORDS] = sample.word_decay
     squares = [np.full_like(emission, 1e-2), np.full_like(transition, 1e-2)]
+    random = np.random.default_rng(sample.seed)
     for _ in range(sample.rounds):
-        scores = emission[flat].sum(axis=1).reshape(n, -1, 3)
-        chance, expected = _expected(scores, transition)
-        error = (truth - chance).reshape(-1, 3)
-        push = np.zeros_like(emission)
-        for tag in range(3):
-            for column in range(flat.shape[1]):
-                push[:, tag] += np.bincount(flat[:, column], weights=error[:, tag], minlength=N_FEATURES)
-        for weights, gradient, square, shrink in zip(
-                (emission, transition), (push, moves - expected), squares, (decay, sample.decay), strict=True):
-            gradient = gradient - shrink * n * weights
-            square += gradient**2
-            weights += sample.rate * gradient / np.sqrt(square)
+        for some in np.array_split(random.permutation(n), max(1, n // sample.batch)):
+            flat, truth = features[some].reshape(-1, features.shape[-1]), tags[some]
+            moves = np.bincount((truth[:, :-1] * 3 + truth[:, 1:]).ravel(), minlength=9).reshape(3, 3)
+            chance, expected = _expected(emission[flat].sum(axis=1).reshape(len(some), length, 3), transition)
+            error = (np.eye(3)[truth] - chance).reshape(-1, 3)
+            push = np.stack([
+                np.bincount(flat.ravel(), weights=np.repeat(error[:, tag], flat.shape[1]), minlength=N_FEATURES)
+                for tag in range(3)], axis=1)
+            for weights, gradient, square, shrink in zip(
+                    (emission, transition), (push, moves - expected), squares, (decay, sample.decay), strict=True):
+                gradient = gradient - shrink * len(some) / n * weights
+                square += gradient**2
+                weights += sample.rate * gradient / np.sqrt(square)
+            np.clip(transition, -sample.transition, sample.transition, out=transition)
+    emission[TRAITS:TEXTURE, OUTSIDE] += sample.caution  # every token has one of these features
     return Field(emission.astype(np.float32), transition)
 
 
