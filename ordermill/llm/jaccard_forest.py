@@ -350,11 +350,15 @@ def keep_one_per_group(docs: DataFrame, forest: Forest = Forest(), id_col: str =
     chosen = counted.groupBy("group_key").agg(
         F.min(F.struct("_id", "_hash", F.col("count").alias("_rows"))).alias("c")).select("c.*")
     chosen = materialize(chosen, "kept-documents")
-    marked = docs.withColumn("_own_hash", text_hash(F.col(text_col)))
+    # Named apart from every column of the input, whatever those are called.
+    own = "_own_hash"
+    while own.lower() in {name.lower() for name in docs.columns}:
+        own += "_"
+    marked = docs.withColumn(own, text_hash(F.col(text_col)))
 
     def rows_of(some: DataFrame) -> DataFrame:
-        same = marked[id_col].eqNullSafe(some["_id"]) & (marked["_own_hash"] == some["_hash"])
+        same = marked[id_col].eqNullSafe(some["_id"]) & (marked[own] == some["_hash"])
         return marked.join(some, same).select(*[marked[c] for c in marked.columns])
 
     single, repeated = rows_of(chosen.filter("_rows = 1")), rows_of(chosen.filter("_rows > 1"))
-    return single.unionByName(repeated.dropDuplicates([id_col, "_own_hash"])).drop("_own_hash")
+    return single.unionByName(repeated.dropDuplicates([id_col, own])).drop(own)

@@ -1,10 +1,15 @@
 """Bounded samples of labelled documents, to fit classifiers on.
 
 Scores never see labels, language, source or id; these only choose the sample.
+
+Defined results: ids may be of any type; a null id, a null label, or one other than 0 and 1 trains
+nothing; a labelled id without a document, or with a null text, neither.  An empty table
+gives an empty sample, from which no model is trained.  Other columns are not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -48,6 +53,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: Sampl
     return [r["text"] for r in rows], [r["label"] for r in rows]
 
 
-def hash_order(value: int) -> int:
+def hash_order(value: object) -> int:
     """A fixed shuffling of ids."""
+    if not isinstance(value, int):
+        value = int.from_bytes(hashlib.blake2b(str(value).encode("utf-8", "surrogatepass"), digest_size=8).digest())
     return (value * 0x9E3779B97F4A7C15 ^ value >> 7) & (1 << 64) - 1

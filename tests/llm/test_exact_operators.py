@@ -240,6 +240,13 @@ def test_groups_of_awkward_rows(spark):
     assert jaccard_forest.keep_one_per_group(docs.limit(0)).count() == 0
 
 
+def test_kept_rows_have_all_columns_whatever_their_names(spark):
+    docs = documents(spark).withColumns({name: F.lit(name) for name in ("_own_hash", "_OWN_HASH_", "_id", "_hash", "_rows")})
+    kept = jaccard_forest.keep_one_per_group(docs)
+    assert kept.columns == docs.columns and kept.count() == 7
+    assert kept.filter("_own_hash <> '_own_hash' OR _OWN_HASH_ <> '_OWN_HASH_' OR _id <> '_id'").count() == 0
+
+
 def test_prefix_is_shortened_to_the_target():
     forest = jaccard_forest.Forest()
     depth = forest.prefix()

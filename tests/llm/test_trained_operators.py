@@ -64,6 +64,14 @@ def test_scores_of_awkward_rows(spark, scorer):
     assert scorer(docs.limit(0), docs.limit(0), labels, "verdict").count() == 0
 
 
+def test_sample_takes_text_ids(spark):
+    rows = [(f"doc-{i}", f"text number {i}", i % 2) for i in range(60)] + [(None, "nobody's", 1), ("empty", None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, good int")
+    texts, known = labelled.labelled_sample(docs, docs, "good")
+    assert set(known) == {0, 1} and len(texts) == len(set(texts)) < 60
+    assert all(int(text.split()[-1]) % 2 == label for text, label in zip(texts, known, strict=True))
+
+
 def test_sample_is_bounded_and_leaves_the_fifth_out(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     texts, known = labelled.labelled_sample(docs, labels, "quality", labelled.SampleBound(per_class=9, max_chars=3000))
