@@ -3,7 +3,10 @@
 ``rule_figures`` measures each whole text inside its row: nothing is exploded or
 shuffled.  ``host_verdicts`` adds up the failures of each rule by host, fits a
 beta prior to the hosts' rates by their moments, and shrinks each host's rate
-towards it, so that a host of three pages isn't condemned by two of them.
+towards it, so that a host of three pages isn't condemned by two of them.  How
+high a rate condemns follows from the prior too: a host has to be surely (by
+two deviations of its posterior) worse than a multiple of what hosts have.
+Where hosts differ by chance alone, none is condemned.
 ``apply_rules`` joins the verdicts of condemned hosts back to the documents.
 
 Defined results: a null or empty text has no words and fails the rule on length.
@@ -33,13 +36,20 @@ WINDOW = 5
 
 @dataclass(frozen=True)
 class Limits:
-    """Where a document fails a rule, and from which shrunk rate of failures on a host is condemned."""
+    """Where a document fails a rule, and where a host is condemned.
+
+    A host is condemned if its shrunk rate, less ``host_deviations`` posterior deviations, is above
+    ``host_multiple`` times the prior's mean; that limit is kept between ``host_floor`` and ``host_ceiling``.
+    """
 
     min_words: int = 10
     max_repeat_percent: int = 20
     max_symbol_percent: int = 30
     max_dup_line_percent: int = 50
-    host_rate: float = 0.5
+    host_multiple: float = 2.0
+    host_deviations: float = 2.0
+    host_floor: float = 0.2
+    host_ceiling: float = 0.5
 
 
 def _let(value: Column, use) -> Column:
@@ -76,7 +86,10 @@ def _repeat_words(words: Column) -> Column:
 
 
 def rule_figures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """One row per document: id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long)."""
+    """One row per document: id, host, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words (long).
+
+    n_lines: lines with a word.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     plain = docs.select(F.col(id_col).alias("id"), F.col(host_col).alias("host"), text.alias("text"))
     split = plain.select(
@@ -91,6 +104,7 @@ def rule_figures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "n_words": F.size(words),
         "word_chars": F.length(F.array_join(words, "")),
         "n_symbols": F.length("text") - F.length(without),
+        "n_lines": F.size(lines),
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
         "n_repeat_words": _repeat_words(words),
     }
@@ -104,7 +118,7 @@ def rule_failures(limits: Limits = Limits()) -> dict[str, Column]:
         "short": words < limits.min_words,
         "repeats": 100 * F.col("n_repeat_words") > limits.max_repeat_percent * words,
         "symbols": 100 * F.col("n_symbols") > limits.max_symbol_percent * F.col("word_chars"),
-        "dup_lines": 100 * F.col("n_dup_lines") > limits.max_dup_line_percent * words,
+        "dup_lines": 100 * F.col("n_dup_lines") > limits.max_dup_line_percent * F.col("n_lines"),
     }
 
 
@@ -113,29 +127,35 @@ def host_verdicts(figures: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
     The prior of a rule is Beta(m*s, (1-m)*s).  m is the mean of the hosts' rates; s follows from their
     variance less what chance alone gives hosts of their sizes, and is kept between 1 and 1000.
+    ``least_<rule>`` is the shrunk rate less the deviations of ``limits``.
     """
     rules = rule_failures(limits)
     hosts = figures.filter(F.col("host").isNotNull()).groupBy("host").agg(
         F.count("*").alias("n_docs"), *[F.count_if(failed).alias(f"n_{name}") for name, failed in rules.items()])
     hosts = materialize(hosts, "host-failures")
-    rate = {name: F.col(f"n_{name}") / F.col("n_docs") for name in rules}
-    mean = {name: F.coalesce(F.avg(rate[name]), F.lit(0.0)) for name in rules}
+    seen = {name: F.col(f"n_{name}") / F.col("n_docs") for name in rules}
+    mean = {name: F.coalesce(F.avg(seen[name]), F.lit(0.0)) for name in rules}
     priors = hosts.agg(
         F.coalesce(F.avg(1 / F.col("n_docs")), F.lit(1.0)).alias("noise"),
         *[mean[name].alias(f"m_{name}") for name in rules],
-        *[F.coalesce(F.var_pop(rate[name]), F.lit(0.0)).alias(f"v_{name}") for name in rules])
+        *[F.coalesce(F.var_pop(seen[name]), F.lit(0.0)).alias(f"v_{name}") for name in rules])
     for name in rules:
         m, v = F.col(f"m_{name}"), F.col(f"v_{name}")
         chance = m * (1 - m)
         spread = F.greatest(v - chance * F.col("noise"), F.lit(1e-9))
         priors = priors.withColumn(f"s_{name}", F.greatest(F.lit(1.0), F.least(F.lit(1000.0), chance / spread - 1)))
-    result = hosts
+    result, condemned = hosts, F.lit(False)
     for name in rules:
         strength = priors.select(f"s_{name}").scalar()
         centre = priors.select(f"m_{name}").scalar()
+        rate = F.col(f"rate_{name}")
+        deviation = F.sqrt(rate * (1 - rate) / (F.col("n_docs") + strength + 1))
         result = result.withColumn(
             f"rate_{name}", (F.col(f"n_{name}") + centre * strength) / (F.col("n_docs") + strength))
-    return result.withColumn("condemned", F.greatest(*[F.col(f"rate_{name}") for name in rules]) >= limits.host_rate)
+        result = result.withColumn(f"least_{name}", rate - limits.host_deviations * deviation)
+        limit = F.greatest(F.lit(limits.host_floor), F.least(F.lit(limits.host_ceiling), limits.host_multiple * centre))
+        condemned = condemned | (F.col(f"least_{name}") > limit)
+    return result.withColumn("condemned", condemned)
 
 
 def apply_rules(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text",

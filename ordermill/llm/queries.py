@@ -25,7 +25,7 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.apply_rules(table(spark, folder, "documents"))
     return judged.select(
         F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept")
+        "base_failed", "kept", "n_lines", "host_condemned")
 
 
 OP2_SQL = r"""
@@ -41,11 +41,11 @@ covered AS (SELECT r, count(DISTINCT i + k) AS n FROM again, range(5) AS s(k) GR
 f AS (
     SELECT d.r, doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
            (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
-           (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+           len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
     FROM d LEFT JOIN covered USING (r)),
 g AS (
     SELECT *, n_words < 10 AS short, 100 * n_repeat_words > 20 * n_words AS repeats,
-           100 * n_symbols > 30 * word_chars AS symbols, 100 * n_dup_lines > 50 * n_words AS dup_lines FROM f),
+           100 * n_symbols > 30 * word_chars AS symbols, 100 * n_dup_lines > 50 * n_lines AS dup_lines FROM f),
 rules AS (
     UNPIVOT (SELECT source, count(*) AS n, count_if(short) AS short, count_if(repeats) AS repeats,
                     count_if(symbols) AS symbols, count_if(dup_lines) AS dup_lines
@@ -55,11 +55,16 @@ prior AS (
     SELECT rule, avg(failed / n) AS m, var_pop(failed / n) AS v, avg(1 / n) AS noise FROM rules GROUP BY rule),
 shrunk AS (
     SELECT rule, m, greatest(1.0, least(1000.0, m * (1 - m) / greatest(v - m * (1 - m) * noise, 1e-9) - 1)) AS s FROM prior),
+shrunk_rates AS (SELECT source, n, m, s, (failed + m * s) / (n + s) AS rate FROM rules JOIN shrunk USING (rule)),
 condemned AS (
-    SELECT DISTINCT source FROM rules JOIN shrunk USING (rule) WHERE (failed + m * s) / (n + s) >= 0.5)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeats AS base_failed,
-       NOT (short OR repeats) AND (source IS NULL OR source NOT IN (SELECT source FROM condemned)) AS kept
-FROM g
+    SELECT DISTINCT source FROM shrunk_rates
+    WHERE rate - 2 * sqrt(rate * (1 - rate) / (n + s + 1)) > greatest(0.2, least(0.5, 2 * m))),
+judged AS (
+    SELECT *, short OR repeats AS base_failed,
+           source IS NOT NULL AND source IN (SELECT source FROM condemned) AS host_condemned FROM g)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT host_condemned AS kept, n_lines, host_condemned
+FROM judged
 """
 
 #: What the conversation added by the query says, in both of its turns.
@@ -115,28 +120,27 @@ URL_RULES = [
     url_filter.Rule("block", "com", "/de/"),
 ]
 
-#: Host labels, or parts of them between dashes, that mark advertising and tracking hosts.
-TRACKING = r"(^|[.-])(ad|ads|adserver|analytics|banner|click|clicks|pixel|spam|track|tracker|tracking)([.-]|$)"
-
 
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
-    listed = pages.select(url_filter.url_host(F.col("url")).alias("host")).filter(F.col("host").rlike(TRACKING)).distinct()
+    listed = url_filter.thin_hosts(pages)
     return url_filter.judge_urls(pages, listed, URL_RULES)
 
 
-OP6_SQL = rf"""
+OP6_SQL = r"""
 WITH p AS (
     SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
-           coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+           coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, html FROM pages),
 rules(v, h, q) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
                           ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
 best AS (
     SELECT host, path, arg_max(h || q, length(h || q)) AS rule, arg_max(v, length(h || q)) AS v
     FROM (SELECT DISTINCT host, path FROM p) JOIN rules
       ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, q) GROUP BY ALL),
-listed AS (SELECT DISTINCT host FROM p WHERE regexp_matches(host, '{TRACKING}'))
+h AS (SELECT host, count(*) AS n, count_if(coalesce(length(html), 0) < 2000) AS thin FROM p GROUP BY host),
+listed AS (
+    SELECT host FROM h WHERE host <> '' AND thin / n > 1.1::DOUBLE * (SELECT sum(thin) / sum(n) FROM h))
 SELECT page_id, host, path, rule,
        coalesce(v, CASE WHEN host IN (SELECT host FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN best USING (host, path)

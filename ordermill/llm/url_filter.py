@@ -60,6 +60,21 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def thin_hosts(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_chars: int = 2000,
+               excess: float = 1.1) -> DataFrame:
+    """Hosts (column host) whose share of thin pages is above ``excess`` times that of all pages.
+
+    A page is thin if its source has fewer than ``min_chars`` code points; a null one has none.  Pages
+    without a host count for the share of all only.  Repeated rows count each; without pages there is no host.
+    """
+    chars = F.coalesce(F.length(html_col), F.lit(0))
+    hosts = pages.select(url_host(F.col(url_col)).alias("host"), (chars < min_chars).alias("thin")).groupBy("host").agg(
+        F.count("*").alias("n_pages"), F.count_if("thin").alias("n_thin"))
+    hosts = materialize(hosts, "thin-pages")
+    of_all = hosts.agg(F.sum("n_thin") / F.sum("n_pages")).scalar()
+    return hosts.filter((F.col("host") != "") & (F.col("n_thin") / F.col("n_pages") > excess * of_all)).select("host")
+
+
 def matching_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     """struct<rule, verdict> of the longest fitting rule (ties: the name, then block before allow), else null.
 

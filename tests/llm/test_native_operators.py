@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
+import duckdb
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -61,6 +62,36 @@ def test_a_bad_host_takes_its_documents_along(spark):
     assert got[2001]  # one failure of two says little about a host
 
 
+def test_condemned_hosts_against_sql(spark, tmp_path):
+    """Each rule condemns a host of its own, hosts of few documents and of none stay, and the query's SQL agrees."""
+    fine = "\n".join(" ".join(f"w{i}x{k}" for i in range(12)) for k in range(4))
+    lines = "\n".join(["one line of a page that is repeated here", *[f"line {k} x{k} y{k} z{k}" for k in range(3)]])
+    bad = {"short": "too short", "repeats": "a b c d e " * 6, "symbols": "## $$ %% && || <> ## $$ %% && || word",
+           "lines": lines + "\none line of a page that is repeated here" * 5}
+    rows = [(i, fine if i % 20 else "short", f"fine{i % 12}") for i in range(960)]
+    rows += [(2000 + 100 * k + i, bad[name] if i % 4 else fine, name) for k, name in enumerate(bad) for i in range(80)]
+    rows += [(4000 + i, "short", "tiny") for i in range(2)] + [(5000 + i, text, None) for i, text in enumerate((fine, None, ""))]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = __spark_entry__.queries()["op2_quality_rules"](spark, str(tmp_path)).toPandas()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(SQL["op2_quality_rules"]).df()
+    assert _comparable(got) == _comparable(want)
+    condemned = {rows_of[2] for rows_of in rows if rows_of[0] in set(got[got["host_condemned"]]["doc_id"])}
+    assert condemned == set(bad)
+    fallen = got[~got["kept"] & ~got["base_failed"]]
+    assert len(fallen) >= 4 * 20  # the good documents of condemned hosts go with them
+
+
+def test_hosts_alike_stay(spark):
+    """Rates that differ by chance alone condemn nobody, however many documents fail."""
+    rows = spark.range(20_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("src"), F.xxhash64("id") % 20).alias("source"),
+        F.when(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(10)) < 3, "short").otherwise(
+            " ".join(f"w{i}" for i in range(20))).alias("text"))
+    assert quality_rules.apply_rules(rows).filter("host_condemned").count() == 0
+
+
 TEXTS = st.lists(st.sampled_from([*"\\<|~>\nime ", "<|im_end|>", "<|im_start|>", "<\\|", "<\\~", "é"]), max_size=20).map("".join)
 
 
@@ -108,6 +139,32 @@ def test_cascade_is_exact(spark, max_bits):
     assert all((r["verdict"] == "block") == (int(r["host"][1:-4]) % 7 == 0) for r in got)
 
 
+def test_thin_hosts(spark):
+    rows = [(f"http://{'Fat' if i % 4 else 'thin'}.com/{i}", "x" * (3000 if i % 4 else 1999), 1) for i in range(40)]
+    rows += [("http://thin.com/", None, 1), ("http://edge.com/", "x" * 2000, 1), (None, "x", 1), (None, None, 1)]
+    pages = spark.createDataFrame(rows, "url string, html string, host int")
+    assert [tuple(r) for r in url_filter.thin_hosts(pages).collect()] == [("thin.com",)]
+    assert url_filter.thin_hosts(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("folder", [SF, "/root/testdata/sf0.01"])
+def test_list_of_the_query_has_an_effect(spark, folder):
+    """Some hosts are listed, not all, and pages are blocked by the list alone."""
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    hosts = pages.select(url_filter.url_host(F.col("url"))).distinct().count()
+    assert 0 < url_filter.thin_hosts(pages).count() < hosts
+    judged = __spark_entry__.queries()["op6_url_filter"](spark, folder)
+    assert judged.filter("rule IS NULL AND verdict = 'block'").count() > 0
+
+
+def test_cascade_has_levels(spark):
+    """Among so many keys each filter but the last lets some pass by chance."""
+    keys = spark.range(3000).select(F.concat(F.lit("h"), "id").alias("key"), "id")
+    levels = url_filter.build_cascade(keys.filter("id % 5 = 0").select("key"), keys.filter("id % 5 <> 0").select("key"))
+    assert len(levels) > 3
+    assert keys.filter(url_filter.is_listed(F.col("key"), levels) != (F.col("id") % 5 == 0)).count() == 0
+
+
 def test_urls_on_awkward_rows(spark):
     rows = [
         (1, "HTTP://A.EXAMPLE.ORG/en/1x?q#f", 0), (2, "http://example.org/es/", 0), (3, "no scheme", 0), (4, None, 0),
