@@ -69,25 +69,30 @@ def latest_tier_counts(by_day: DataFrame) -> DataFrame:
         F.max("date_key").alias("date_key"), F.max_by("customer_count", "date_key").alias("customer_count"))
 
 
-def clv_kpis(clv: DataFrame) -> DataFrame:
+def clv_kpis(clv: DataFrame, span: tuple[Column, Column] | None = None) -> DataFrame:
     """Customers scored, first and last day, greatest running spend, and its median on the last day.
 
     Every customer has a row on the last day, and running spend never falls, so that day has all but the
-    first day; of the stored table only the first and the last year are read.
+    first day; of the stored table only the first and the last year are read.  Where ``span`` names the
+    first and the last day, as scalars, no other day is looked for.
     """
     def day_of(year: Column, pick) -> Column:
         return clv.filter(F.col("snapshot_year") == year).agg(pick("date_key")).scalar()
 
-    first_year, last_year = (clv.agg(pick("snapshot_year")).scalar() for pick in (F.min, F.max))
-    last_day = day_of(last_year, F.max)
-    latest = clv.filter((F.col("snapshot_year") == last_year) & (F.col("date_key") == last_day))
+    if span is None:
+        first_year, last_year = (clv.agg(pick("snapshot_year")).scalar() for pick in (F.min, F.max))
+        first_day, last_day = day_of(first_year, F.min), day_of(last_year, F.max)
+        latest = clv.filter((F.col("snapshot_year") == last_year) & (F.col("date_key") == last_day))
+    else:
+        first_day, last_day = span
+        latest = clv.filter(F.col("date_key") == last_day)
     median = group_quantiles(latest, [], F.col("cumulative_spend"), {"median": 0.5}, scale=2)
     return latest.agg(
         F.count("*").alias("customers_scored"),
         F.max("date_key").alias("latest_date"),
         F.max("cumulative_spend").alias("max_clv"),
     ).select(
-        "customers_scored", day_of(first_year, F.min).alias("earliest_date"), "latest_date", "max_clv",
+        "customers_scored", first_day.alias("earliest_date"), "latest_date", "max_clv",
         median.select("median").scalar().alias("median_clv_latest"))
 
 

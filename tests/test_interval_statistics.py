@@ -126,3 +126,19 @@ def test_days_are_written_out_once(tables, monkeypatch):
         text = df._jdf.queryExecution().executedPlan().toString()
         assert len(re.findall(r"Generate explode", text.split("Subquer")[0])) == 1
     assert len(expanded) == 2
+
+
+def test_customer_days_dealt_out_by_days_are_the_same(tables):
+    """Pieces of intervals expand to the same rows; most tasks have too few days for an aggregate of sketches to sort its rows."""
+    intervals = stored_intervals(tables.fact, tables.customers, tables.calendar)
+    plain, by_days = intervals.expanded(), intervals.expanded(by_days=True)
+    columns = [c for c in plain.columns if c != "until"]  # a piece ends where the next begins
+    plain, narrow = plain.select(*columns), by_days.select(*columns)
+    assert plain.exceptAll(narrow).isEmpty() and narrow.exceptAll(plain).isEmpty()
+    # Ranges are of equal rows, so only those of the thin first days are longer than two pieces.
+    per_task = by_days.groupBy(F.spark_partition_id()).agg(F.count_distinct("date_key").alias("days"))
+    assert per_task.agg(F.median("days")).first()[0] <= 2 * lifetime_value.DAYS_PER_PIECE
+    last = tables.calendar.agg(F.max("date_key")).scalar()
+    only = intervals.expanded(only=last).select(*columns)
+    assert only.count() == plain.filter(F.col("date_key") == last).count() > 0
+    assert only.exceptAll(plain).isEmpty()

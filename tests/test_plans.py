@@ -6,10 +6,10 @@ import re
 
 import pytest
 
-from checks.registry import RULES, Tables
+from checks.registry import QUERIES, RULES, Tables
 from ordermill.operators.merge import upsert
 from ordermill.operators.order_statistics import rank_key, with_tile
-from ordermill.plans import audits
+from ordermill.plans import audits, reports
 from ordermill.plans.churn import churn_indicators
 from ordermill.plans.cleaning import clean_options, clean_order_items
 from ordermill.plans.dimensions import dim_restaurant
@@ -105,3 +105,20 @@ def test_distinct_counts_do_not_multiply_rows(tables, build):
 def test_shares_go_on_from_stored_counts(tables, build):
     text = plan(build(tables))
     assert "ORDER_ID" not in text and "USER_ID" not in text
+
+
+def test_customer_days_are_written_out_for_the_readers_customer_and_day_only(tables):
+    """The snapshot of the queries is a view: conditions reach the intervals, and nothing stores the dense rows."""
+    text = plan(reports.trajectory(tables.clv, "7"))
+    assert text.index("Generate explode") < text.index("Filter") and "EqualTo(user_id,7)" in text
+    text = plan(QUERIES["rep_clv_kpis"](tables))
+    assert "Generate explode" not in text and "Window" not in text
+
+
+def test_figures_of_the_last_day_from_one_day(tables):
+    assert QUERIES["rep_clv_kpis"](tables).collect() == reports.clv_kpis(tables.clv).collect()
+
+
+def test_times_are_made_into_text_before_the_lines_join(spark):
+    text = plan(raw_order_items(spark, SF))
+    assert "date_format" in text and text.index("Join") < text.index("date_format")
