@@ -44,6 +44,25 @@ def test_fact(spark):
         4, D("2.50"), D("50.00"))
 
 
+def test_fact_of_repeated_lines_and_missing_keys(spark):
+    """Options count with each copy of their line, and a key with a NULL equals no line."""
+    items = spark.createDataFrame(
+        [("o1", "a", "u2", D("1.00"), None), ("o1", "a", "u1", D("2.00"), True), ("o1", None, None, D("4.00"), None),
+         (None, "a", "u3", D("8.00"), False), (None, None, "u4", None, None)],
+        "ORDER_ID string, LINEITEM_ID string, USER_ID string, line_item_revenue decimal(12,2), IS_LOYALTY boolean",
+    ).withColumns({
+        "APP_NAME": F.lit("Shop"), "RESTAURANT_ID": F.lit("R1"), "order_date": F.lit(date(2024, 1, 1)), "order_hour": F.lit(1),
+        "CREATION_TIME_UTC": F.lit("2024-01-01 01:00:00").cast("timestamp")})
+    options = spark.createDataFrame(
+        [("o1", "a", D("0.50"), True), ("o1", "a", None, None), ("o1", None, D("0.25"), True), (None, "a", D("0.25"), True),
+         ("o1", "lost", D("0.25"), True), ("o2", "a", D("0.25"), True)],
+        "ORDER_ID string, LINEITEM_ID string, option_revenue decimal(12,2), is_paid_option boolean")
+    got = fact_orders(items, options).orderBy("order_id").select(
+        "order_id", "user_id", "item_count", "total_item_revenue", "total_option_revenue", "paid_option_count", "is_loyalty")
+    assert [tuple(r) for r in got.collect()] == [
+        (None, "u3", 1, D("8.00"), D("0.00"), 0, False), ("o1", "u1", 2, D("7.00"), D("1.00"), 2, True)]
+
+
 def test_upsell_without_rows(spark):
     options = clean_options(raw_options(spark, raw_option())).limit(0)
     line = upsell_summary(options, fact(spark, ("o", "u", "2023-01-01", "1")).limit(0)).first()

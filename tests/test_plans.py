@@ -70,6 +70,11 @@ def test_the_dense_table_is_not_shuffled(tables):
     assert "Window" not in text
 
 
+def test_lines_and_options_are_shuffled_once_for_the_fact(tables):
+    text = plan(fact_orders(tables.items, tables.options))
+    assert len(re.findall(r"Exchange \w+", text)) == 1 and "Join" not in text
+
+
 def test_hot_keys_combine_before_the_shuffle(tables):
     for df in (churn_indicators(tables.fact), loyalty_comparison(tables.fact), clean_order_items(tables.raw_items, RULES)):
         text = plan(df)
