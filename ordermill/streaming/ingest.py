@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ordermill.session import materialize
-from ordermill.sources.lake import RAW, Lake, TableSpec
+from ordermill.sources.lake import FEW_VALUES, RAW, Lake, TableSpec
 
 
 def extract_stream(
@@ -47,7 +47,9 @@ def publish_batch(lake: Lake, spec: TableSpec, batch: DataFrame, number: int, st
     done = lake.marks(RAW, spec.name).get(stream)
     if done is not None and number <= int(done):
         return False
-    fresh = materialize(keep_latest(batch, spec.keys, load_date), f"{spec.name}-batch")
+    # Up to one more than FEW_VALUES load dates, read from the names of folders; of one date all rows are the latest.
+    dates = batch.select(load_date).distinct().limit(FEW_VALUES + 1).count()
+    fresh = materialize(keep_latest(batch, spec.keys, load_date) if dates > 1 else batch, f"{spec.name}-batch")
     if lake.exists(RAW, spec.name):
         # Only loads later than the earliest of the batch can hold newer rows: mostly none is read.
         earliest = fresh.agg(F.min(load_date)).first()[0]
@@ -57,7 +59,8 @@ def publish_batch(lake: Lake, spec: TableSpec, batch: DataFrame, number: int, st
         for k in spec.keys:
             later &= F.col(k) == F.col(f"__{k}")
         fresh = fresh.join(newer, later, "left_anti")
-    lake.upsert(fresh, RAW, spec.name, spec.keys, [load_date], marks={stream: str(number)})
+    lake.upsert(
+        fresh, RAW, spec.name, spec.keys, [load_date], marks={stream: str(number)}, rebalance=dates > FEW_VALUES)
     return True
 
 

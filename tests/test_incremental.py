@@ -11,7 +11,7 @@ from checks.registry import RULES, Tables
 from ordermill.operators.merge import replace_by_key
 from ordermill.plans import daily_run
 from ordermill.plans.daily_run import CLEANED, ITEMS, MONTH, OPTIONS, Run, clean_layer, ingest_raw
-from ordermill.sources.lake import CLEAN, RAW, SERVING, Lake, TableSpec
+from ordermill.sources.lake import CLEAN, FEW_VALUES, RAW, SERVING, Lake, TableSpec
 from ordermill.streaming.ingest import extract_stream, ingest_stream, publish_batch
 
 SF = "/root/testdata/sf0.001"
@@ -216,3 +216,29 @@ def test_a_stop_between_publishing_and_recording(spark, tmp_path, monkeypatch):
 def test_serving_tables_are_not_touched_by_ingest(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     assert not lake.exists(SERVING, "fact_orders") and lake.marks(SERVING, "fact_orders") == {}
+
+
+def test_extracts_of_one_load_date_are_shuffled_for_the_merge_only(spark, tmp_path, monkeypatch):
+    """Neither brought together by load date nor joined to find the last one."""
+    seen, overwrite = [], Lake.overwrite
+    monkeypatch.setattr(Lake, "overwrite", lambda self, df, layer, table, partition_by=(), rebalance=False, *more, **named: (
+        seen.append(rebalance), overwrite(self, df, layer, table, partition_by, rebalance, *more, **named))[1])
+    monkeypatch.setattr("ordermill.streaming.ingest.keep_latest", None)
+    lake, folder = Lake(spark, str(tmp_path / "lake")), tmp_path / "extracts"
+    for day, value in (("2024-01-01", 1), ("2024-01-02", 2)):
+        extract(spark, folder, day, ("a", "x", value))
+        run_stream(spark, lake, folder)
+    ingest_raw(Run(lake, lambda spec: frame(spark, ("a", "x", 3)), "2024-01-03", "", sources=(TableSpec("raw", SPEC.keys),)))
+    assert seen == [False] * 3
+    assert lines(lake.read(RAW, "raw").select(*frame(spark).columns)) == [("a", "x", 3)]
+
+
+def test_many_load_dates_are_brought_together(spark, tmp_path, monkeypatch):
+    seen, overwrite = [], Lake.overwrite
+    monkeypatch.setattr(Lake, "overwrite", lambda self, df, layer, table, partition_by=(), rebalance=False, *more, **named: (
+        seen.append(rebalance), overwrite(self, df, layer, table, partition_by, rebalance, *more, **named))[1])
+    lake, folder = Lake(spark, str(tmp_path / "lake")), tmp_path / "extracts"
+    for n in range(FEW_VALUES + 1):
+        extract(spark, folder, f"2024-01-0{n + 1}", (f"k{n}", "x", n))
+    run_stream(spark, lake, folder)
+    assert seen == [True] and lake.read(RAW, SPEC.name).count() == FEW_VALUES + 1
