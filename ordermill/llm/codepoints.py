@@ -111,9 +111,11 @@ def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
         return np.zeros(0, dtype=np.uint64)
     lengths = ends - starts
     at = places_in_runs(lengths)
-    inside = codes[np.repeat(starts, lengths) + at].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    inside = codes[np.repeat(starts, lengths) + at].astype(np.uint64)
+    inside *= np.uint64(0xD6E8FEB86659FD93)
     inside ^= inside >> np.uint64(32)
-    sums = np.add.reduceat(inside * _powers_to(int(lengths.max()))[at], np.cumsum(lengths) - lengths)
+    inside *= _powers_to(int(lengths.max()))[at]
+    sums = np.add.reduceat(inside, np.cumsum(lengths) - lengths)
     return mixed(sums + lengths.astype(np.uint64))
 
 

@@ -72,15 +72,20 @@ class Forest:
         return math.floor(n * self.threshold - 6 * math.sqrt(n * self.threshold * (1 - self.threshold)))
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """``np.unique`` without its table of hashes, which costs more than the sort on the few values of a text."""
+    ordered = np.sort(values)
+    new = np.ones(len(ordered), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return ordered[new]
+
+
 def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     """Of each text, the sorted distinct 64-bit hashes of its shingles."""
     out: list[np.ndarray] = []
     for _, part in cp.blocks(texts):
         starts, ends, counts = cp.word_spans(part)
-        hashes = np.zeros(0, dtype=np.uint64)
-        if len(starts):
-            first, kind = cp.distinct_spans(part, starts, ends)
-            hashes = cp.span_hashes(part.codes, starts[first], ends[first])[kind]
+        hashes = cp.span_hashes(part.codes, starts, ends)
         rolled = np.zeros(max(0, len(hashes) - words + 1), dtype=np.uint64)
         for k in range(words):
             rolled = (rolled ^ hashes[k:k + len(rolled)]) * np.uint64(0x9E3779B97F4A7C15)
@@ -88,7 +93,7 @@ def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
         at = 0
         for n in counts.tolist():
             if n >= words:
-                out.append(np.unique(rolled[at:at + n - words + 1]))
+                out.append(_distinct(rolled[at:at + n - words + 1]))
             elif n:
                 out.append(np.frombuffer(xxhash.xxh3_64_digest(hashes[at:at + n].tobytes()), dtype=np.uint64))
             else:
