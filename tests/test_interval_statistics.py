@@ -142,3 +142,14 @@ def test_customer_days_dealt_out_by_days_are_the_same(tables):
     only = intervals.expanded(only=last).select(*columns)
     assert only.count() == plain.filter(F.col("date_key") == last).count() > 0
     assert only.exceptAll(plain).isEmpty()
+
+
+def test_percent_ranks_use_stored_intervals_and_their_key(tables, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("built again")
+
+    intervals = tables.spend_intervals
+    monkeypatch.setattr("ordermill.plans.lifetime_value_ranked.stored_intervals", refuse)
+    ranked = clv_by_percent_rank(tables.fact, tables.customers, tables.calendar, intervals, keyed=True)
+    assert ranked.filter(F.col("spend_key") != (F.col("cumulative_spend") * 100).cast("bigint")).count() == 0
+    assert ranked.drop("spend_key").columns[-1] == "is_active"
