@@ -122,19 +122,23 @@ def dependency_audit(items: DataFrame, columns: Sequence[str], key: str = "ORDER
 
 def orphan_audit(items: DataFrame, options: DataFrame) -> DataFrame:
     """Option rows without a line item, and orders without and with options."""
-    item_keys = items.select("ORDER_ID", "LINEITEM_ID").distinct()
-    orphans = options.join(item_keys, ["ORDER_ID", "LINEITEM_ID"], "left_anti")
-    sides = (
-        items.select("ORDER_ID", F.lit(True).alias("has_items"))
-        .unionByName(options.select("ORDER_ID", F.lit(False).alias("has_items")))
-        .groupBy("ORDER_ID").agg(F.bool_or("has_items").alias("items"), (~F.bool_and("has_items")).alias("options"))
-    )
+    line = ["ORDER_ID", "LINEITEM_ID"]
+    # Both tables are dealt out by order once; lines, and then orders, meet where they are.
+    rows = items.select(*line, F.lit(True).alias("is_item")).unionByName(options.select(*line, F.lit(False).alias("is_item")))
+    per_line = rows.repartition("ORDER_ID").groupBy(*line).agg(
+        F.bool_or("is_item").alias("has_item"), F.count_if(~F.col("is_item")).alias("option_rows"))
+    # A key with a NULL equals no line.
+    met = F.col("has_item") & F.col("ORDER_ID").isNotNull() & F.col("LINEITEM_ID").isNotNull()
+    sides = per_line.groupBy("ORDER_ID").agg(
+        F.bool_or("has_item").alias("items"), F.bool_or(F.col("option_rows") > 0).alias("options"),
+        F.sum(F.when(met, 0).otherwise(F.col("option_rows"))).alias("orphans"))
     both = F.col("items") & F.col("options")
     return sides.agg(
         F.count_if(both).alias("orders_in_both"),
         F.count_if(F.col("items") & ~F.col("options")).alias("orders_without_options"),
         F.count_if(~F.col("items")).alias("option_orders_without_items"),
-    ).withColumn("orphan_option_rows", orphans.agg(F.count("*")).scalar())
+        F.coalesce(F.sum("orphans"), F.lit(0)).alias("orphan_option_rows"),
+    )
 
 
 def group_size_histogram(df: DataFrame, keys: Sequence[str], bounds) -> DataFrame:

@@ -128,3 +128,17 @@ def test_column_profile_repeats_no_rows_and_its_sketches_keep_their_bound(spark)
         assert "Expand" not in node  # the one Generate writes the single line of totals out by column
     assert plan.count("Generate") == 1
     assert audits.column_profile(df.limit(0)).count() == 0
+
+
+def test_orphans_shuffle_both_tables_once(spark):
+    line = "ORDER_ID string, LINEITEM_ID string"
+    items = spark.createDataFrame([("a", "1"), ("a", "1"), ("b", "1"), ("c", None), (None, "1")], line)
+    options = spark.createDataFrame(
+        [("a", "1"), ("a", "1"), ("a", "2"), ("c", None), ("d", "1"), (None, "1"), (None, None)], line)
+    audit = audits.orphan_audit(items, options)
+    assert audit.collect() == [(3, 1, 1, 5)]
+    assert audits.orphan_audit(items.limit(0), options.limit(0)).collect() == [(0, 0, 0, 0)]
+    plan = audit._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan
+    planned = audit._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert planned.count("Exchange hashpartitioning(") == 1
