@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime
 
 import pytest
 
-from checks.registry import QUERIES, RULES, Tables
+from checks.registry import QUERIES, RULES, Tables, _stored
 from ordermill.operators.merge import upsert
 from ordermill.operators.order_statistics import rank_key, with_tile
 from ordermill.plans import audits, reports
@@ -19,7 +20,8 @@ from ordermill.plans.loyalty import loyalty_comparison
 from ordermill.plans.orders import fact_orders
 from ordermill.plans.sales import sales_daily, sales_monthly, sales_weekly
 from ordermill.schemas import ITEM_KEYS
-from ordermill.sources.sample_data import raw_order_items
+from ordermill.session import use_checkpoint_folder
+from ordermill.sources.sample_data import raw_order_items, whole_number
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -127,3 +129,42 @@ def test_figures_of_the_last_day_from_one_day(tables):
 def test_times_are_made_into_text_before_the_lines_join(spark):
     text = plan(raw_order_items(spark, SF))
     assert "date_format" in text and text.index("Join") < text.index("date_format")
+
+
+def _own_tables(spark, folder: str) -> str:
+    """Five lines of two orders: one of a test app, one too dear, one that comes twice."""
+    line = (1, 2, 3, 1, 4.0, 10.5, 0.1, 0.02, "A", "F")
+    tables = {
+        "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                     "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string",
+                     [line, line, (1, 97, *line[2:]), (2, 2, 3, 2, 4.0, 51.0, *line[6:]), (2, *line[1:])]),
+        "orders": ("o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
+                   [(key, 7, datetime(1997, 3, key), "1-URGENT") for key in (1, 2)]),
+        "part": ("p_partkey bigint, p_type string, p_name string", [(2, "SOUP", "pea soup"), (97, "TEST", "test")]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_clean_items_do_not_store_the_raw_items_and_read_them_if_stored(spark, tmp_path):
+    use_checkpoint_folder(spark)
+
+    def stored(tables) -> bool:
+        return (spark.sparkContext.applicationId, tables.folder, "raw-items") in _stored
+
+    alone = Tables(spark, _own_tables(spark, str(tmp_path / "alone")))
+    got = sorted(map(repr, alone.items.collect()))
+    assert len(got) == 2 and not stored(alone)
+    after = Tables(spark, _own_tables(spark, str(tmp_path / "after")))
+    assert after.raw_items.count() == 5 and stored(after)
+    assert "Join" not in plan(clean_order_items(after._raw_items_once(), RULES))
+    assert sorted(map(repr, after.items.collect())) == got
+
+
+def test_whole_numbers_are_those_of_round_without_a_decimal(spark):
+    values = [n + d for n in (0.0, 1.0, 5199.0, 2.0**51) for d in (0.0, 0.5, 0.4999999999, 0.25, 1.5, 0.9999999)]
+    values += [0.49999999999999994, 2.0**53 + 2, 9e18, 1.005 * 100, 2.675 * 100]
+    df = spark.createDataFrame([(v,) for v in [*values, *[-v for v in values], None]], "v double")
+    wrong = df.filter(~whole_number(F.col("v")).eqNullSafe(F.round("v").cast("bigint")))
+    assert wrong.collect() == [] and "round(" not in plan(df.select(whole_number(F.col("v"))))
