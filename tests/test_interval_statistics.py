@@ -144,6 +144,34 @@ def test_customer_days_dealt_out_by_days_are_the_same(tables):
     assert only.exceptAll(plain).isEmpty()
 
 
+def test_spans_stand_for_the_customer_days(tables):
+    """Written out day by day they are the same rows; most days come as parts of longer spans, each within a month."""
+    spans = tables.spend_intervals.spans(tables.spend_cuts)
+    last = F.date_add("date_key", (F.col("days") - 1).cast("int"))
+    assert spans.filter(F.trunc("date_key", "MM") != F.trunc(last, "MM")).isEmpty()
+    days = spans.select(F.explode(F.sequence("date_key", last)).alias("date_key"), "clv_tier", "cumulative_spend")
+    rows = tables.clv.select(*days.columns)
+    assert days.exceptAll(rows).isEmpty() and rows.exceptAll(days).isEmpty()
+    assert spans.count() < rows.count() / 3
+
+
+def test_spans_where_a_tier_is_missing_on_some_days(spark):
+    """One customer, then two, then six: boundaries come up within half a month, and no tier is carried past them."""
+    people = spark.createDataFrame(
+        [(f"u{i}", date(2024, 1, d)) for i, d in enumerate((1, 5, 9, 9, 20, 20))], "user_id string, first_order_date date")
+    days = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-03-31')) AS date_key")
+    fact = people.select(
+        "user_id", F.col("first_order_date").alias("order_date"), F.lit(5).cast("decimal(18,2)").alias("total_revenue"),
+        F.lit(False).alias("is_anonymous"))
+    intervals = stored_intervals(fact, people, days)
+    cuts = lifetime_value.spend_cuts(intervals)
+    spans = intervals.spans(cuts)
+    last = F.date_add("date_key", (F.col("days") - 1).cast("int"))
+    got = spans.select(F.explode(F.sequence("date_key", last)).alias("date_key"), "clv_tier", "cumulative_spend")
+    rows = clv_snapshot(fact, people, days, intervals=intervals, cuts=cuts).select(*got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.collect())) and spans.count() < rows.count()
+
+
 def test_percent_ranks_use_stored_intervals_and_their_key(tables, monkeypatch):
     def refuse(*_):
         raise AssertionError("built again")
